@@ -70,6 +70,23 @@ def version_number(name: Column, prefix: str) -> Column:
     return F.when(name.startswith(prefix), number)
 
 
+def whole_div(name: str, by: int) -> Column:
+    """Integer division of a column; ``/`` would go through floating point."""
+    return F.expr(f"`{name}` div {by}")
+
+
+def epoch_micros(column: Column, data_type: T.DataType) -> Column:
+    """Microseconds since 1970.
+
+    A timestamp without a time zone is counted as written; turning it into one
+    with a zone first would make clock changes count as time.
+    """
+    if isinstance(data_type, T.TimestampNTZType):
+        since = column - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return (since.cast("interval second").cast("decimal(24,6)") * 1_000_000).cast("bigint")
+    return F.unix_micros(column)
+
+
 def shuffle_hash(seed: int, *key: Column) -> Column:
     """32 hex digits that put rows into a random order which the seed decides."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[k.cast("string") for k in key]))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tunemill.functions.values import version_number
+from tunemill.functions.values import epoch_micros, version_number, whole_div
 
 VERSION_PREFIX = "checkpoint-"
 
@@ -20,8 +20,13 @@ def latest_version(names: DataFrame, key: str, name: str, prefix: str = VERSION_
     )
 
 
-def elapsed_micros(start: Column, end: Column) -> Column:
-    return F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
+def with_elapsed(log: DataFrame, start: str, end: str, name: str = "elapsed_us") -> DataFrame:
+    """Add the microseconds between two columns of a row."""
+
+    def micros(column: str) -> Column:
+        return epoch_micros(F.col(column), log.schema[column].dataType)
+
+    return log.withColumn(name, micros(end) - micros(start))
 
 
 def time_to_next(
@@ -33,8 +38,8 @@ def time_to_next(
     takes its successor from a table with the first row of each stretch.  So
     one busy key is spread over as many tasks as there are stretches.
     """
-    stamped = log.withColumn("_us", F.unix_micros(F.col(time).cast("timestamp"))).withColumn(
-        "_bucket", F.floor(F.col("_us") / (bucket_seconds * 1_000_000))
+    stamped = log.withColumn("_us", epoch_micros(F.col(time), log.schema[time].dataType)).withColumn(
+        "_bucket", whole_div("_us", bucket_seconds * 1_000_000)
     )
     firsts = stamped.groupBy(by, "_bucket").agg(F.min("_us").alias("_first"))
     following = firsts.select(

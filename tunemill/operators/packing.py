@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunemill.functions.values import shuffle_hash
+from tunemill.functions.values import shuffle_hash, whole_div
 from tunemill.operators.ordering import running_total
 from tunemill.operators.sampling import PREFIX
 
@@ -53,8 +53,11 @@ def pack(
         name="_end",
         small_offsets=True,
     )
-    start = F.col("_end") - F.size("_tokens")
-    touched = F.sequence(F.floor(start / block), F.floor((F.col("_end") - 1) / block))
+    placed = placed.withColumn("_start", F.col("_end") - F.size("_tokens")).withColumn(
+        "_last", F.col("_end") - 1
+    )
+    start = F.col("_start")
+    touched = F.sequence(whole_div("_start", block), whole_div("_last", block))
 
     def piece(number: Column) -> Column:
         low = F.greatest(number * block, start)

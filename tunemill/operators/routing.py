@@ -35,6 +35,10 @@ def _array_sum(column: str) -> Column:
     return F.aggregate(column, F.lit(0).cast("bigint"), lambda done, x: done + x)
 
 
+def _log(expert: int) -> Column:
+    return F.coalesce(F.get("_logs", F.lit(expert)), F.lit(0.0))
+
+
 def unigram_perplexity(
     df: DataFrame,
     key: str,
@@ -52,31 +56,40 @@ def unigram_perplexity(
     A few words make up most of any text.  Words with at least one k-th of all
     occurrences are at most k, hence small enough to send to every task, where
     a text's words collapse into one partial sum before any shuffle.  The
-    words left are too rare to make a join on them uneven.
+    words left are too rare to make a join on them uneven.  Texts are read and
+    cut into words once: both branches start from the same shuffled sums.
     """
     size = len(experts)
     head_words = max(1, head_bytes // (64 + 16 * size))
     sized = model.select(
         "token",
-        _array_sum("counts").alias("_n"),
+        _array_sum("counts").alias("_all"),
         F.transform("counts", lambda c: F.log(c + F.lit(1.0))).alias("_logs"),
     )
-    everything = model.select(_array_sum("counts").alias("_n")).agg(F.sum("_n")).scalar()
-    frequent = F.col("_n").cast("double") * head_words >= everything
+    everything = model.select(_array_sum("counts").alias("_all")).agg(F.sum("_all")).scalar()
+    frequent = F.col("_all").cast("double") * head_words >= everything
     head = sized.filter(frequent).select("token", "_logs")
     tail = sized.filter(~frequent).select("token", "_logs")
 
     words = df.select(F.col(key), F.explode(tokens).alias("token"))
-    known = words.join(F.broadcast(head), "token").select(key, "_logs")
-    rare = (
-        words.join(F.broadcast(head.select("token")), "token", "left_anti")
+    looked_up = words.join(F.broadcast(head), "token", "left")
+    rare = F.when(F.col("_logs").isNull(), F.col("token"))
+    log_sums = [F.sum(_log(i)).alias(f"_s{i}") for i in range(size)]
+    parts = looked_up.groupBy(key, rare.alias("_rare")).agg(
+        F.count("*").alias("_n"), F.count("_logs").alias("_known"), *log_sums
+    )
+    sums = [f"_s{i}" for i in range(size)]
+    # The condition is on a count, so it stays above the shuffle that both share.
+    known = parts.filter(F.col("_known") > 0).select(key, "_n", *sums)
+    unknown = (
+        parts.filter(F.col("_known") == 0)
+        .select(key, "_n", F.col("_rare").alias("token"))
         .join(tail, "token", "left")
-        .select(key, "_logs")
+        .select(key, "_n", *[(F.col("_n") * _log(i)).alias(f"_s{i}") for i in range(size)])
+    )
+    summed = known.unionByName(unknown).groupBy(key).agg(
+        *[F.sum(name).alias(name) for name in ("_n", *sums)]
     )
-    sums = [
-        F.sum(F.coalesce(F.get("_logs", F.lit(i)), F.lit(0.0))).alias(f"_s{i}") for i in range(size)
-    ]
-    summed = known.unionByName(rare).groupBy(key).agg(F.count("*").alias("_n"), *sums)
 
     totals = model.agg(
         F.array(*[F.log((F.sum(F.get("counts", F.lit(i))) + F.count("*")).cast("double")) for i in range(size)])

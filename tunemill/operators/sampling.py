@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tunemill.functions.values import hash_percent, shuffle_hash
+from tunemill.functions.values import hash_percent, shuffle_hash, whole_div
 
-# Up to this many files, the table of file offsets is sent to every task
-# (16 bytes a file); beyond, it is joined in blocks of rows.
-BROADCAST_FILES = 1_000_000
+# Up to this many files, the table of file offsets (a path and a number each,
+# some 50 MB in all) is sent to every task; beyond, it is joined in blocks of rows.
+BROADCAST_FILES = 200_000
 BLOCK_ROWS = 1_000_000
+# Up to this many groups, one cut per group is sent to every task.
+BROADCAST_GROUPS = 100_000
 # Hex digits of the hash that make a bucket: 65,536 buckets.
 PREFIX = 4
 
@@ -45,9 +47,9 @@ def with_row_index(
         blocks = starts.select(
             "_path",
             "_start",
-            F.explode(F.sequence(F.lit(0), F.floor((F.col("_rows") - 1) / block_rows).cast("int"))).alias("_block"),
+            F.explode(F.expr(f"sequence(0L, (_rows - 1) div {block_rows})")).alias("_block"),
         )
-        blocked = located.withColumn("_block", F.floor(F.col("_at") / block_rows).cast("int"))
+        blocked = located.withColumn("_block", whole_div("_at", block_rows))
         joined = blocked.join(blocks, ["_path", "_block"])
     return joined.select(*df.columns, (F.col("_start") + F.col("_at")).alias(name))
 
@@ -73,13 +75,17 @@ def _needed(total: Column, share: float | None, rows: int | None) -> Column:
 
 
 def hash_cuts(
-    keys: DataFrame, share: float | None = None, rows: int | None = None, by: Sequence[str] = ()
+    keys: DataFrame,
+    share: float | None = None,
+    rows: int | None = None,
+    by: Sequence[str] = (),
+    groups: int = 1,
 ) -> DataFrame:
     """The largest hash that still belongs to the sample, one row per ``by``.
 
     ``keys`` has the columns ``by`` and ``_hash``.  Counts per hash prefix
     find the one bucket in which the cut lies, and only its rows, one in
-    65,536, are ranked.
+    65,536, are ranked.  ``groups`` is the number of values of ``by``.
     """
     prefixed = keys.withColumn("_prefix", F.substring("_hash", 1, PREFIX))
     counts = prefixed.groupBy(*by, "_prefix").agg(F.count("*").alias("_n"))
@@ -94,7 +100,7 @@ def hash_cuts(
     )
     edge = counted.filter((F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_n") < F.col("_need")))
     rest = edge.select(*by, "_prefix", (F.col("_need") - F.col("_upto") + F.col("_n")).alias("_rest"))
-    at_edge = prefixed.join(rest, [*by, "_prefix"])
+    at_edge = prefixed.join(F.broadcast(rest) if groups <= BROADCAST_GROUPS else rest, [*by, "_prefix"])
     ranked = at_edge.withColumn("_rank", F.row_number().over(whole.orderBy("_hash")))
     return ranked.filter(F.col("_rank") == F.col("_rest")).select(*by, F.col("_hash").alias("_cut"))
 
@@ -129,18 +135,17 @@ def split_exact_by(
     seed: int = 42,
     test_share: float = 0.2,
     column: str = "split",
-    broadcast_groups: int = 100_000,
 ) -> DataFrame:
     """As :func:`split_exact` within each value of ``by``.
 
-    ``groups`` is the known number of values.  Past ``broadcast_groups`` the
-    cuts are joined by shuffle, where salted copies of every cut keep a large
-    group from meeting in one task.
+    ``groups`` is the known number of values.  When there are too many to
+    send their cuts to every task, the cuts are joined by shuffle, and salted
+    copies of every cut keep a large group from meeting in one task.
     """
     digest = shuffle_hash(seed, *[F.col(k) for k in key])
     hashed = df.withColumn("_hash", digest)
-    cuts = hash_cuts(hashed.select(by, "_hash"), share=test_share, by=[by])
-    if groups <= broadcast_groups:
+    cuts = hash_cuts(hashed.select(by, "_hash"), share=test_share, by=[by], groups=groups)
+    if groups <= BROADCAST_GROUPS:
         joined = hashed.join(F.broadcast(cuts), by, "left")
     else:
         salted = cuts.select("*", F.explode(F.sequence(F.lit(0), F.lit(255))).alias("_salt"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunemill.functions.templates import OPEN_TAG, chat_turn
+from tunemill.functions.values import whole_div
 
 # Turns rendered into one row; a longer chat continues in the next row.
 PART_TURNS = 1_000
@@ -46,7 +47,7 @@ def chat_text(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     one part; ordinary conversations have part 0 only, and the parts of a huge
     one, put together in order, are its text.
     """
-    numbered = turns.withColumn("part", F.floor(F.col("turn") / part_turns))
+    numbered = turns.withColumn("part", whole_div("turn", part_turns))
     parts = numbered.groupBy("conv_id", "part").agg(
         F.count("*").alias("n_turns"),
         F.array_sort(
@@ -55,7 +56,7 @@ def chat_text(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
         F.max(F.struct("turn", "role")).alias("last"),
     )
     ends = turns.groupBy("conv_id").agg(F.max("turn").alias("end"))
-    finals = ends.select("conv_id", F.floor(F.col("end") / part_turns).alias("part"), "end")
+    finals = ends.select("conv_id", whole_div("end", part_turns).alias("part"), "end")
     joined = parts.join(finals, ["conv_id", "part"], "left")
     due = F.col("end").isNotNull() & (F.col("last.role") == "user")
     text = F.concat(

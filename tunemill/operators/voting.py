@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tunemill.functions.values import whole_div
 from tunemill.operators.ordering import running_total
 
 # Positions that share a bucket when answers are ranked.
@@ -37,11 +38,11 @@ def vote_ranking(
 ) -> DataFrame:
     """All answers of an item, numbered from 1 by votes, then by first appearance.
 
-    ``position`` is an integer that no two rows share.  An item with a
+    ``position`` is an integer that no two rows share, and no item is NULL.  An item with a
     great many different answers is ranked in ranges of positions.
     """
     counted = vote_counts(responses, item, response, position).withColumn(
-        "_range", F.floor(F.col("first_pos") / rank_range)
+        "_range", whole_div("first_pos", rank_range)
     )
     return running_total(
         counted,

@@ -48,36 +48,41 @@ def render_column(df: DataFrame, recipe: Recipe) -> Column:
     return templates.qa_text(question, answer)
 
 
-def _kept(rendered: DataFrame, observation: Observation | None) -> DataFrame:
-    if observation is not None:
-        rendered = rendered.observe(
-            observation,
-            F.count("*").alias("rows"),
-            F.count_if(F.col("text").isNull()).alias("dropped"),
-        )
-    return rendered.filter(F.col("text").isNotNull())
-
-
 def training_texts(
     df: DataFrame,
     recipe: Recipe,
     key: Sequence[str],
     observation: Observation | None = None,
+    complete: bool = False,
 ) -> DataFrame:
     """Filter and render a data set: the key columns and ``text``.
 
     Rows without an input or an output are dropped, a missing context is
-    empty; ``observation`` counts what was dropped.
+    empty; ``observation`` counts what was dropped.  The test is on the
+    columns and not on the text made from them: it reaches the scan, and
+    whoever needs the keys alone does not render anything.  ``complete`` says
+    that no input or output is missing; then the test is left out, and the
+    passes over the keys of a split need not read the texts at all.
     """
     require_columns(df, *recipe.columns, *key)
     if recipe.filter_field_name is not None:
         df = filter_equals(df, recipe.filter_field_name, recipe.filter_field_value)
-    return _kept(df.select(*key, render_column(df, recipe).alias("text")), observation)
+    whole = F.col(recipe.input_field_name).isNotNull()
+    if recipe.output_field_name is not None:
+        whole &= F.col(recipe.output_field_name).isNotNull()
+    if observation is not None:
+        dropped = F.count_if(~whole).alias("dropped")
+        df = df.observe(observation, F.count("*").alias("rows"), dropped)
+    if not complete:
+        df = df.filter(whole)
+    return df.select(*key, render_column(df, recipe).alias("text"))
 
 
-def training_set(df: DataFrame, recipe: Recipe, key: Sequence[str]) -> DataFrame:
+def training_set(
+    df: DataFrame, recipe: Recipe, key: Sequence[str], complete: bool = False
+) -> DataFrame:
     """Key, ``text`` and ``split``, with exactly a fifth (rounded up) of the rows in test."""
-    texts = training_texts(every_kth(df, recipe.every_kth), recipe, key)
+    texts = training_texts(every_kth(df, recipe.every_kth), recipe, key, complete=complete)
     return split_exact(texts, key, SPLIT_SEED, TEST_SHARE)
 
 
@@ -130,7 +135,10 @@ def _fan_out_bound(df: DataFrame, recipes: Sequence[Recipe], key: Sequence[str])
         # The join below selects the rows; this lets the scan skip others early.
         any_of = [equals(df, first.filter_field_name, r.filter_field_value) for r in recipes]
         df = df.filter(reduce(lambda left, right: left | right, any_of))
+    df = df.filter(F.col(first.input_field_name).isNotNull())
     has_output = first.output_field_name is not None
+    if has_output:
+        df = df.filter(F.col(first.output_field_name).isNotNull())
     has_context = has_output and first.context_field_name is not None
     fields = df.select(
         *key,
@@ -164,17 +172,14 @@ def _fan_out_bound(df: DataFrame, recipes: Sequence[Recipe], key: Sequence[str])
         table = spark.createDataFrame(rows, f"_wanted string, {_RECIPE_ROW}")
         table = table.select(F.col("_wanted").try_cast(filter_type).alias("_filter"), "*").drop("_wanted")
         joined = fields.join(F.broadcast(table), "_filter")
-    answer = F.coalesce(F.element_at("names", F.col("_output")), F.col("_output"))
     if has_output:
-        text = F.when(
-            answer.isNotNull(),
-            templates.training_text(
-                F.col("_input"), answer, F.col("_context"), F.col("context_hint"), F.col("input_hint")
-            ),
+        answer = F.coalesce(F.element_at("names", F.col("_output")), F.col("_output"))
+        text = templates.training_text(
+            F.col("_input"), answer, F.col("_context"), F.col("context_hint"), F.col("input_hint")
         )
     else:
         text = templates.pretrain_text(F.col("_input"))
-    return joined.select("recipe", *key, text.alias("text")).filter(F.col("text").isNotNull())
+    return joined.select("recipe", *key, text.alias("text"))
 
 
 def fan_out(df: DataFrame, recipes: Sequence[Recipe], key: Sequence[str]) -> DataFrame:
