@@ -43,13 +43,17 @@ def _single_breaks(text: Column) -> Column:
     return F.replace(text, F.lit("\r\n"), F.lit("\n"))
 
 
+def _outdent(even: Column) -> Column:
+    return F.regexp_replace(even, f"{BREAK_RE}{INDENT_RE}*", "\n")
+
+
 def strip_indents(text: Column) -> Column:
     """Bring every line break to ``\\n`` and drop the indent after it.
 
     The first line keeps its indent and a final break is kept; templates,
     whose first and last characters are known, need nothing more.
     """
-    return F.regexp_replace(_single_breaks(text), f"{BREAK_RE}{INDENT_RE}*", "\n")
+    return _outdent(_single_breaks(text))
 
 
 def normalize_lines(text: Column) -> Column:
@@ -60,7 +64,8 @@ def normalize_lines(text: Column) -> Column:
     even = _single_breaks(text)
     ends = F.right(even, F.lit(1)).isin(*BREAKS)
     closed = F.when(ends, F.left(even, F.length(even) - 1)).otherwise(even)
-    return F.ltrim(strip_indents(closed), F.lit(INDENTS))
+    # Not again through _single_breaks: \r\r\n is two breaks and must stay two.
+    return F.ltrim(_outdent(closed), F.lit(INDENTS))
 
 
 def drop_blank_lines(text: Column) -> Column:
