@@ -15,6 +15,7 @@ from tunemill.operators.ordering import running_total
 from tunemill.operators.packing import END_MARK, pack, truncate
 from tunemill.operators.routing import (
     choose_expert,
+    choose_scored,
     fit_unigrams,
     perplexity,
     unigram_perplexity,
@@ -138,7 +139,8 @@ def test_perplexity_with_frequent_and_rare_words(spark, head_bytes):
     tokens = words(F.col("text"))
     model = fit_unigrams(spark.createDataFrame(docs, schema), F.col("expert"), tokens, ["a", "b", "c"])
     texts = spark.createDataFrame([*docs, *held_out], schema)
-    made = unigram_perplexity(texts, "id", tokens, model, ["a", "b", "c"], head_bytes)
+    scored = unigram_perplexity(texts, "id", tokens, model, ["a", "b", "c"], head_bytes)
+    made = scored.select("id", F.inline("scores"))
 
     counts = {e: Counter() for e in "abc"}
     for _, e, text in docs:
@@ -158,6 +160,7 @@ def test_perplexity_with_frequent_and_rare_words(spark, head_bytes):
     for i in {i for i, _ in expected}:
         score, expert = min((expected[i, e] * coefs.get(e, 1), e) for e in "abc")
         assert chosen[i][0] == expert and math.isclose(chosen[i][1], score, rel_tol=1e-9)
+    assert chosen == {r.id: (r.expert, r.score) for r in choose_scored(scored, "id", coefs).collect()}
 
 
 def test_route_ties_and_plain_perplexity(spark):

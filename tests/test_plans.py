@@ -163,7 +163,7 @@ def test_sampled_training_set(spark, tmp_path):
 def test_catalog(spark, tmp_path):
     entries = {
         "a": "id: x/small\nconverted_size: 2.5MB\nlang: no\nlangs:\n  - no\nstructure:\n  - id: t\n    type: string\n    optional: true\n  - id: n\n    type: int64\n",
-        "b": "id: x/nested\nconverted_size: 9GB\nstructure:\n  - main:\n      - id: label\n        type: Label\n",
+        "b": "id: x/nested\nconverted_size: 9GB\nstructure:\n  main:\n    - id: label\n      type: Label\n",
         "c": "id: x/huge\nconverted_size: 2.45TB\n",
         "d": "id: x/unsized\nconverted_size: 7.12\n",
     }

@@ -47,7 +47,7 @@ def unigram_perplexity(
     experts: Sequence[str],
     head_bytes: int = HEAD_BYTES,
 ) -> DataFrame:
-    """``key, expert, expert_pos, ppl``: one row per text and expert.
+    """The key and ``scores``, an array of ``expert, expert_pos, ppl`` per text.
 
     With add-one smoothing, ``log p = log(count + 1) - log(total + vocabulary)``.
     A word an expert has never seen adds nothing to the first term, so only
@@ -103,18 +103,39 @@ def unigram_perplexity(
         )
         for i, name in enumerate(experts)
     ]
-    return scored.select(key, F.inline(F.array(*rows)))
+    return scored.select(key, F.array(*rows).alias("scores"))
 
 
-def choose_expert(scores: DataFrame, key: str, coefs: Mapping[str, float] | None = None) -> DataFrame:
-    """The expert with the lowest ``ppl`` times its coefficient, the first on ties.
-
-    An expert without a coefficient has 1.
-    """
+def _weighted(score: Column, coefs: Mapping[str, float] | None) -> Column:
+    """What experts are compared by; one without a coefficient has 1."""
     weight = F.lit(1.0)
     if coefs:
         table = F.create_map(*[F.lit(x) for name, c in coefs.items() for x in (name, float(c))])
-        weight = F.coalesce(F.element_at(table, F.col("expert")), F.lit(1.0))
-    weighted = scores.withColumn("score", F.col("ppl") * weight)
-    best = weighted.groupBy(key).agg(F.min(F.struct("score", "expert_pos", "expert")).alias("_best"))
-    return best.select(key, F.col("_best.expert").alias("expert"), F.col("_best.score").alias("score"))
+        weight = F.coalesce(F.element_at(table, score["expert"]), F.lit(1.0))
+    return F.struct(
+        (score["ppl"] * weight).alias("score"),
+        score["expert_pos"].alias("expert_pos"),
+        score["expert"].alias("expert"),
+    )
+
+
+def _choice() -> list[Column]:
+    return [F.col("_best.expert").alias("expert"), F.col("_best.score").alias("score")]
+
+
+def choose_scored(df: DataFrame, key: str, coefs: Mapping[str, float] | None = None) -> DataFrame:
+    """The expert with the lowest ``ppl`` times its coefficient, the first on ties.
+
+    Reads the ``scores`` of :func:`unigram_perplexity`; nothing is shuffled.
+    """
+    best = F.array_min(F.transform("scores", lambda score: _weighted(score, coefs)))
+    return df.select(key, best.alias("_best")).select(key, *_choice())
+
+
+def choose_expert(
+    scores: DataFrame, key: str, coefs: Mapping[str, float] | None = None
+) -> DataFrame:
+    """As :func:`choose_scored` for a table with a row per text and expert."""
+    row = F.struct("expert", "expert_pos", "ppl")
+    best = scores.groupBy(key).agg(F.min(_weighted(row, coefs)).alias("_best"))
+    return best.select(key, *_choice())

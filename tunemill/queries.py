@@ -25,7 +25,7 @@ from tunemill.operators.filters import filter_equals
 from tunemill.operators.logs import latest_version, time_to_next
 from tunemill.operators.packing import pack, truncate
 from tunemill.operators.routing import (
-    choose_expert,
+    choose_scored,
     fit_unigrams,
     perplexity,
     unigram_perplexity,
@@ -424,11 +424,12 @@ def _unigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def perplexity_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _unigram_scores(spark, sf_dir).select("doc_id", "expert", F.round("ppl", 4).alias("ppl"))
+    scores = _unigram_scores(spark, sf_dir).select("doc_id", F.inline("scores"))
+    return scores.select("doc_id", "expert", F.round("ppl", 4).alias("ppl"))
 
 
 def expert_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen = choose_expert(_unigram_scores(spark, sf_dir), "doc_id", COEFS)
+    chosen = choose_scored(_unigram_scores(spark, sf_dir), "doc_id", COEFS)
     return chosen.select("doc_id", "expert", F.round("score", 4).alias("score"))
 
 

@@ -42,22 +42,15 @@ def read_descriptor(path: str | Path) -> dict[str, Any]:
 
 def fields(descriptor: Mapping[str, Any]) -> list[dict[str, Any]]:
     """The declared columns, whether listed flat or below the name of a config."""
-    flat: list[dict[str, Any]] = []
-    for entry in descriptor.get("structure") or []:
-        if "id" in entry:
-            flat.append(dict(entry))
-        else:
-            for nested in entry.values():
-                flat.extend(dict(field) for field in nested)
-    return flat
+    structure = descriptor.get("structure") or []
+    lists = structure.values() if isinstance(structure, Mapping) else [structure]
+    return [dict(entry) for listed in lists for entry in listed]
 
 
 def declared_schema(descriptor: Mapping[str, Any]) -> T.StructType:
     """The schema to read the data set with."""
-    schema = T.StructType()
-    for field in fields(descriptor):
-        schema.add(field["id"], FIELD_TYPES[field["type"]], nullable=True)
-    return schema
+    types = {field["id"]: FIELD_TYPES[field["type"]] for field in fields(descriptor)}
+    return T.StructType([T.StructField(name, data_type) for name, data_type in types.items()])
 
 
 def catalog(spark: SparkSession, descriptors: Iterable[Mapping[str, Any]]) -> DataFrame:
