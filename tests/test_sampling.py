@@ -10,6 +10,7 @@ from tunemill.operators.filters import filter_equals
 from tunemill.operators.sampling import (
     every_kth,
     first_rows,
+    rows_between,
     split_exact,
     split_exact_by,
     split_hash,
@@ -93,6 +94,12 @@ def test_row_index_over_files(spark, files, options):
     assert all(r.at == r.idx for r in rows)
 
 
+def test_rows_between(files):
+    for start, stop in ((0, 10), (35, 45), (100, None), (0, 0), (190, 900)):
+        made = sorted(r.at for r in rows_between(files, start, stop).collect())
+        assert made == list(range(200))[start:stop]
+
+
 def test_every_kth_comes_before_filters(spark, files):
     df = filter_equals(every_kth(files, 3), "lang", "x")
     assert sorted(r.at for r in df.collect()) == [i for i in range(0, 200, 3) if i % 2 == 0]
@@ -110,6 +117,10 @@ def test_scan_prunes_partitions(spark, tmp_path):
     df = scan(spark, library, "who/data", config="b.2")
     assert sorted(r.id for r in df.collect()) == [i for i in range(20) if i % 3 == 1]
     assert scan(spark, library, "who/data", split="test").count() == 10
+    assert scan(spark, library, "who/data", config="b.2", split="train[:3]").count() == 3
+    assert scan(spark, library, "who/data", config="b.2", split="train[5:]").count() == df.count() - 5
+    with pytest.raises(ValueError):
+        scan(spark, library, "who/data", split="train[:10%]")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(config" in plan
     assert every_kth(df, 2).count() == math.ceil(df.count() / 2)

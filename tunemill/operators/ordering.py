@@ -61,16 +61,18 @@ def running_total(
     group: Sequence[str] = (),
     descending: Sequence[str] = (),
     small_offsets: bool = False,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``name``: the sum of ``value`` over the row and all rows before it.
 
     ``order`` is the order inside a finest bucket.  ``small_offsets`` says that
     the number of buckets has a fixed bound, so that their totals can be sent
     to every task; otherwise they are joined on the bucket, by which the rows
-    have to be partitioned anyway.
+    have to be partitioned anyway.  ``measured`` has the bucket columns and
+    ``value`` of the same rows, if they can be had at less cost than ``df``.
     """
     keys = [*group, *levels]
-    offsets = bucket_offsets(df, value, levels, group, descending)
+    offsets = bucket_offsets(df if measured is None else measured, value, levels, group, descending)
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     summed = df.withColumn(name, F.sum(value).over(inside))
     joined = summed.join(F.broadcast(offsets) if small_offsets else offsets, keys)

@@ -40,20 +40,22 @@ def pack(
         raise ValueError("block must be 1 or more")
     mark = F.lit(END_MARK) if end_mark is None else end_mark
     digest = shuffle_hash(seed, *[F.col(k) for k in key])
-    samples = df.select(
-        digest.alias("_hash"),
-        F.substring(digest, 1, PREFIX).alias("_prefix"),
-        F.concat(tokens, F.array(mark)).alias("_tokens"),
-    )
+    hashed = df.select("*", digest.alias("_hash"), F.substring(digest, 1, PREFIX).alias("_prefix"))
+    marked = F.concat(tokens, F.array(mark))
+    length = F.col("_n")
+    # Move the columns that the tokens come from, which are smaller than the
+    # tokens; and sum the lengths where the rows are, before anything moves.
+    moved = hashed.repartition("_prefix").select("_hash", "_prefix", marked.alias("_tokens"))
     placed = running_total(
-        samples,
-        F.size("_tokens").cast("bigint"),
+        moved.withColumn("_n", F.size("_tokens").cast("bigint")),
+        length,
         levels=["_prefix"],
         order=[F.col("_hash")],
         name="_end",
         small_offsets=True,
+        measured=hashed.select("_prefix", F.size(marked).cast("bigint").alias("_n")),
     )
-    placed = placed.withColumn("_start", F.col("_end") - F.size("_tokens")).withColumn(
+    placed = placed.withColumn("_start", F.col("_end") - length).withColumn(
         "_last", F.col("_end") - 1
     )
     start = F.col("_start")

@@ -74,18 +74,23 @@ def unigram_perplexity(
     words = df.select(F.col(key), F.explode(tokens).alias("token"))
     looked_up = words.join(F.broadcast(head), "token", "left")
     rare = F.when(F.col("_logs").isNull(), F.col("token"))
-    log_sums = [F.sum(_log(i)).alias(f"_s{i}") for i in range(size)]
+    sums = [f"_s{i}" for i in range(size)]
+    log_sums = [F.sum(_log(i)).alias(s) for i, s in enumerate(sums)]
     parts = looked_up.groupBy(key, rare.alias("_rare")).agg(
         F.count("*").alias("_n"), F.count("_logs").alias("_known"), *log_sums
     )
-    sums = [f"_s{i}" for i in range(size)]
-    # The condition is on a count, so it stays above the shuffle that both share.
+    # The conditions are on a count, so they stay above the shuffle; and both
+    # branches use all columns of it, so it is the same shuffle for both.
     known = parts.filter(F.col("_known") > 0).select(key, "_n", *sums)
     unknown = (
         parts.filter(F.col("_known") == 0)
-        .select(key, "_n", F.col("_rare").alias("token"))
+        .withColumnRenamed("_rare", "token")
         .join(tail, "token", "left")
-        .select(key, "_n", *[(F.col("_n") * _log(i)).alias(f"_s{i}") for i in range(size)])
+        .select(
+            key,
+            "_n",
+            *[(F.col(s) + F.col("_n") * _log(i)).alias(s) for i, s in enumerate(sums)],
+        )
     )
     summed = known.unionByName(unknown).groupBy(key).agg(
         *[F.sum(name).alias(name) for name in ("_n", *sums)]

@@ -59,6 +59,15 @@ def filter_indexed(df: DataFrame, predicate: Callable[[Column], Column]) -> Data
     return with_row_index(df, "_idx").filter(predicate(F.col("_idx"))).drop("_idx")
 
 
+def rows_between(df: DataFrame, start: int = 0, stop: int | None = None) -> DataFrame:
+    """The rows of a file scan at positions ``start`` up to but not including ``stop``."""
+
+    def inside(idx: Column) -> Column:
+        return (idx >= start) if stop is None else (idx >= start) & (idx < stop)
+
+    return filter_indexed(df, inside)
+
+
 def every_kth(df: DataFrame, k: int) -> DataFrame:
     """Rows 0, k, 2k, ... of a file scan; apply it before other filters."""
     if k < 1:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tunemill.operators.sampling import rows_between
+
+SLICE = re.compile(r"(?P<split>[^\[\]]+)(\[(?P<start>\d*):(?P<stop>\d*)\])?")
+
 
 @dataclass(frozen=True)
 class Library:
@@ -34,11 +39,16 @@ def scan(
     split: str = "train",
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """One data set as a lazy DataFrame; partition columns are used and dropped.
+    """One data set as a lazy DataFrame.
 
-    The result is still a plain scan: file positions (``_metadata``) can be
-    asked of it.
+    ``split`` can name a slice by row positions, as in ``train[:10]``.
+    Without one the result is still a plain scan: file positions
+    (``_metadata``) can be asked of it.
     """
+    named = SLICE.fullmatch(split)
+    if named is None:
+        raise ValueError(f"not a split: {split}")
+    split, start, stop = named["split"], named["start"], named["stop"]
     reader = spark.read.format(library.file_format)
     if schema is not None:
         reader = reader.schema(schema)
@@ -51,6 +61,8 @@ def scan(
         df = df.filter(F.col("config") == config)
     if "split" in df.columns:
         df = df.filter(F.col("split") == split)
+    if start or stop:
+        df = rows_between(df, int(start or 0), int(stop) if stop else None)
     return df
 
 
