@@ -22,7 +22,7 @@ from tunemill.operators.routing import (
 )
 from tunemill.operators.rows import map_rows
 from tunemill.operators.scoring import compare_variants, exact_match_score
-from tunemill.operators.turns import chat_text, question_answer_pairs, with_previous_turn
+from tunemill.operators.turns import chat_text, question_answer_pairs, with_neighbours
 from tunemill.operators.voting import vote_consensus, vote_counts, vote_ranking
 
 
@@ -81,12 +81,26 @@ TURNS = [
 ]
 
 
-def test_pairs_and_previous_turn(spark):
-    turns = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
-    pairs = question_answer_pairs(turns)
-    assert sorted(map(tuple, pairs.collect())) == [(1, 1, "u1", "a1"), (2, 0, "v1", "b1")]
-    placed = {(r.conv_id, r.prev_role, r.prev_text) for r in with_previous_turn(pairs, turns).collect()}
-    assert placed == {(1, "system", "s"), (2, None, None)}
+@pytest.mark.parametrize("part_turns", [1, 2, 3, 1000])
+def test_pairs_and_neighbours(spark, part_turns):
+    chance = random.Random(part_turns)
+    said = list(TURNS)
+    for conv in (3, 4):  # conversation 3 is long, 4 lacks some turns
+        kept = [n for n in range(60) if conv == 3 or chance.random() < 0.7]
+        said += [(conv, n, chance.choice(["user", "assistant"]), f"t{conv}.{n}") for n in kept]
+    text = {(c, n): (r, t) for c, n, r, t in said}
+    turns = spark.createDataFrame(said, "conv_id long, turn long, role string, text string").repartition(4)
+    made = with_neighbours(turns, part_turns).collect()
+    assert sorted((r.conv_id, r.turn, r.role, r.text) for r in made) == sorted(said)
+    for r in made:
+        assert (r.prev_role, r.prev_text) == text.get((r.conv_id, r.turn - 1), (None, None))
+        assert (r.next_role, r.next_text) == text.get((r.conv_id, r.turn + 1), (None, None))
+    pairs = question_answer_pairs(turns, part_turns).collect()
+    assert {(r.conv_id, r.turn): (r.question, r.answer) for r in pairs} == {
+        (c, n): (t, text[c, n + 1][1])
+        for (c, n), (r, t) in text.items()
+        if r == "user" and text.get((c, n + 1), ("",))[0] == "assistant"
+    }
 
 
 @pytest.mark.parametrize("part_turns", [1, 2, 3, 1000])

@@ -1,43 +1,66 @@
-"""Conversations: pairs of turns, and whole chats as text.
+"""Conversations: turns with their neighbours, and whole chats as text.
 
-A turn is identified by ``(conv_id, turn)`` and turns are numbered without
-gaps, so the turn before or after is found by an equality on both columns.
-Such a join spreads one endless conversation over all tasks, which a window
-per conversation cannot.
+A turn is identified by ``(conv_id, turn)``, and turns are numbered without
+gaps.  Nothing here brings a whole conversation to one task, since one may hold
+a large part of all turns: it is handled in stretches of turn numbers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tunemill.functions.templates import OPEN_TAG, chat_turn
 from tunemill.functions.values import whole_div
 
-# Turns rendered into one row; a longer chat continues in the next row.
+# Turns that are looked at together, and rendered into one row of a chat.
 PART_TURNS = 1_000
 
 
-def question_answer_pairs(turns: DataFrame) -> DataFrame:
-    """Every user turn that the assistant answers next."""
-    asked = turns.filter(F.col("role") == "user").select(
-        "conv_id", "turn", F.col("text").alias("question")
+def with_neighbours(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
+    """Add the role and text of the turn before (``prev_``) and after (``next_``).
+
+    One scan and one shuffle.  The first and last turn of a stretch are copied
+    to the stretch beside it, where they serve as neighbours only.
+    """
+    parts = F.array(*[F.expr(f"(turn + {step}) div {part_turns}") for step in (-1, 0, 1)])
+    copied = turns.withColumn("_part", F.explode(F.array_distinct(parts)))
+    order = Window.partitionBy("conv_id", "_part").orderBy("turn")
+    said = F.struct("turn", "role", "text")
+    seen = copied.withColumn("_prev", F.lag(said).over(order)).withColumn(
+        "_next", F.lead(said).over(order)
     )
-    answered = turns.filter(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
+    own = seen.filter(whole_div("turn", part_turns) == F.col("_part"))
+
+    def neighbour(side: str, step: int, field: str) -> Column:
+        adjacent = F.col(f"_{side}.turn") == F.col("turn") + step
+        return F.when(adjacent, F.col(f"_{side}.{field}")).alias(f"{side}_{field}")
+
+    return own.select(
+        *turns.columns,
+        neighbour("prev", -1, "role"),
+        neighbour("prev", -1, "text"),
+        neighbour("next", 1, "role"),
+        neighbour("next", 1, "text"),
     )
-    return asked.join(answered, ["conv_id", "turn"])
 
 
-def with_previous_turn(df: DataFrame, turns: DataFrame) -> DataFrame:
-    """Add ``prev_role`` and ``prev_text``, NULL for the first turn."""
-    before = turns.select(
-        "conv_id",
-        (F.col("turn") + 1).alias("turn"),
-        F.col("role").alias("prev_role"),
-        F.col("text").alias("prev_text"),
+def question_answer_pairs(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
+    """Every user turn that the assistant answers next, and what was said before it."""
+    answered = (F.col("role") == "user") & (F.col("next_role") == "assistant")
+    return (
+        with_neighbours(turns, part_turns)
+        .filter(answered)
+        .select(
+            "conv_id",
+            "turn",
+            F.col("text").alias("question"),
+            F.col("next_text").alias("answer"),
+            "prev_role",
+            "prev_text",
+        )
     )
-    return df.join(before, ["conv_id", "turn"], "left")
 
 
 def chat_text(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
@@ -47,20 +70,20 @@ def chat_text(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     one part; ordinary conversations have part 0 only, and the parts of a huge
     one, put together in order, are its text.
     """
-    numbered = turns.withColumn("part", whole_div("turn", part_turns))
-    parts = numbered.groupBy("conv_id", "part").agg(
-        F.count("*").alias("n_turns"),
-        F.array_sort(
-            F.collect_list(F.struct("turn", chat_turn(F.col("role"), F.col("text")).alias("line")))
-        ).alias("lines"),
-        F.max(F.struct("turn", "role")).alias("last"),
+    # The first turn of a part is announced to the part before, which then
+    # knows that the chat goes on.
+    parts = F.array(whole_div("turn", part_turns), F.expr(f"greatest(turn - 1, 0) div {part_turns}"))
+    placed = turns.withColumn("part", F.explode(F.array_distinct(parts)))
+    own = F.col("part") == whole_div("turn", part_turns)
+    line = chat_turn(F.col("role"), F.col("text")).alias("line")
+    gathered = placed.groupBy("conv_id", "part").agg(
+        F.count_if(own).alias("n_turns"),
+        F.array_sort(F.collect_list(F.when(own, F.struct("turn", line)))).alias("lines"),
+        F.max(F.struct("turn", "role", own.alias("own"))).alias("last"),
     )
-    ends = turns.groupBy("conv_id").agg(F.max("turn").alias("end"))
-    finals = ends.select("conv_id", whole_div("end", part_turns).alias("part"), "end")
-    joined = parts.join(finals, ["conv_id", "part"], "left")
-    due = F.col("end").isNotNull() & (F.col("last.role") == "user")
+    due = F.col("last.own") & (F.col("last.role") == "user")
     text = F.concat(
         F.array_join(F.col("lines.line"), ""),
         F.when(due, f"{OPEN_TAG}assistant\n").otherwise(""),
     )
-    return joined.select("conv_id", "part", "n_turns", text.alias("text"))
+    return gathered.select("conv_id", "part", "n_turns", text.alias("text"))

@@ -40,7 +40,7 @@ from tunemill.operators.sampling import (
     take_hashed,
 )
 from tunemill.operators.scoring import compare_variants, exact_match_score
-from tunemill.operators.turns import chat_text, question_answer_pairs, with_previous_turn
+from tunemill.operators.turns import chat_text, question_answer_pairs, with_neighbours
 from tunemill.operators.voting import vote_consensus, vote_counts, vote_ranking
 from tunemill.plans.recipe import Recipe
 from tunemill.plans.training import fan_out, not_done, training_set
@@ -99,9 +99,8 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns with the turn before them."""
-    turns = table(spark, sf_dir, "conversations")
-    asked = turns.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
-    return with_previous_turn(asked, turns)
+    turns = with_neighbours(table(spark, sf_dir, "conversations"))
+    return turns.filter(F.col("role") == "user").withColumnRenamed("text", "question")
 
 
 def _prompt(template: Callable[[Column], Column]) -> Query:
@@ -223,9 +222,7 @@ def render_hint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pairs_in_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations")
-    placed = with_previous_turn(question_answer_pairs(turns), turns)
-    return placed.withColumn("context", F.coalesce("prev_text", F.lit("")))
+    return _pairs(spark, sf_dir).withColumn("context", F.coalesce("prev_text", F.lit("")))
 
 
 def render_context(spark: SparkSession, sf_dir: str) -> DataFrame:
