@@ -23,7 +23,7 @@ from tunemill.plans.training import (
 from tunemill.queries import queries
 from tunemill.sources.catalog import declared_schema, read_descriptor
 from tunemill.sources.datasets import Library
-from tunemill.sources.ingest import good_rows, load_all, parse_json, quarantined
+from tunemill.sources.ingest import good_rows, load_all, parse_json, quarantined, scan_json_lines
 from tunemill.streaming.render import read_stream, stream_training_set
 
 SCHEMA = "id long, q string, a string, c string, n int, lang string"
@@ -68,6 +68,12 @@ def test_template_follows_the_recipe(rows):
     )
 
 
+def test_a_template_of_the_callers_own(rows):
+    wanted = recipe(output_field_name="n", output_field_values_to_texts={0: "no"})
+    made = training_texts(rows, wanted, ["id"], template=lambda f: F.concat_ws("|", f["input"], f["output"]))
+    assert texts(made) == {1: "q1|no", 2: "q2|1", 3: "q3|2"}
+
+
 def test_filters_labels_and_counts(rows):
     labels = recipe(
         output_field_name="n", output_field_values_to_texts={0: "no"}, filter_field_name="lang", filter_field_value="en"
@@ -198,6 +204,14 @@ def test_bad_json_is_kept_aside(spark):
     assert {r.i for r in quarantined(parsed).collect()} == {2, 4}
 
 
+def test_broken_json_lines(spark, tmp_path):
+    (tmp_path / "set").mkdir()
+    (tmp_path / "set" / "part.json").write_text('{"k": 1}\n{"k": \n{"k": 3, "more": true}\n')
+    lines = scan_json_lines(spark, Library(str(tmp_path)), "set", spark.createDataFrame([], "k long").schema)
+    assert sorted(r.k for r in good_rows(lines).collect()) == [1, 3]
+    assert [r._corrupt_record for r in quarantined(lines).collect()] == ['{"k": ']
+
+
 def test_evaluation(spark):
     recipes = [
         Recipe("r1", "d", "q", evaluations=(EvaluationItem("p0", "A"), EvaluationItem("p1", "B", context=""), EvaluationItem("p2", "C", hint="h"))),

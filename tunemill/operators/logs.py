@@ -30,7 +30,7 @@ def with_elapsed(log: DataFrame, start: str, end: str, name: str = "elapsed_us")
 
 
 def time_to_next(
-    log: DataFrame, by: str, time: str, tie: str, name: str = "elapsed_us", bucket_seconds: int = 3600
+    log: DataFrame, by: str, time: str, tie: str, name: str = "elapsed_us", bucket_seconds: int = 60
 ) -> DataFrame:
     """Add the microseconds until the next row of the same ``by``, NULL for the last.
 

@@ -6,7 +6,7 @@ chosen while the plan is built.  Many recipes over one source share one scan.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 from itertools import groupby
 from typing import Any
@@ -22,6 +22,8 @@ from tunemill.operators.sampling import every_kth, split_exact, split_exact_by
 from tunemill.plans.recipe import SPLIT_SEED, TEST_SHARE, Recipe
 from tunemill.sources.datasets import Library, scan, write_splits
 
+Template = Callable[[Mapping[str, Column]], Column]
+
 # Recipes sent to every task at most; more would have to come from a table.
 MAX_RECIPES = 10_000
 # Filter values that are also spelled out for the scan.
@@ -32,17 +34,29 @@ def _field(df: DataFrame, name: str) -> Column:
     return as_text(F.col(name), df.schema[name].dataType)
 
 
-def render_column(df: DataFrame, recipe: Recipe) -> Column:
-    """The training text of a row; NULL when its input or output is missing."""
-    question = _field(df, recipe.input_field_name)
-    if recipe.output_field_name is None:
+def render_column(df: DataFrame, recipe: Recipe, template: Template | None = None) -> Column:
+    """The training text of a row; NULL when its input or output is missing.
+
+    A ``template`` of the caller's gets the recipe's columns as text, under
+    the names ``input``, ``output`` and ``context``, in place of the choice
+    that follows from the recipe.
+    """
+    fields = {"input": _field(df, recipe.input_field_name)}
+    if recipe.output_field_name is not None:
+        output = _field(df, recipe.output_field_name)
+        fields["output"] = label_text(output, recipe.output_field_values_to_texts)
+        if recipe.context_field_name is not None:
+            fields["context"] = F.coalesce(_field(df, recipe.context_field_name), F.lit(""))
+    if template is not None:
+        return template(fields)
+    question = fields["input"]
+    if "output" not in fields:
         return templates.pretrain_text(question)
-    answer = label_text(_field(df, recipe.output_field_name), recipe.output_field_values_to_texts)
-    if recipe.context_field_name is not None:
-        context = F.coalesce(_field(df, recipe.context_field_name), F.lit(""))
-        if recipe.context_hint is not None:
-            return templates.context_hint_text(recipe.context_hint, context, question, answer)
-        return templates.context_text(context, question, answer)
+    answer = fields["output"]
+    if "context" in fields and recipe.context_hint is not None:
+        return templates.context_hint_text(recipe.context_hint, fields["context"], question, answer)
+    if "context" in fields:
+        return templates.context_text(fields["context"], question, answer)
     if recipe.input_hint is not None:
         return templates.hint_text(recipe.input_hint, question, answer)
     return templates.qa_text(question, answer)
@@ -54,6 +68,7 @@ def training_texts(
     key: Sequence[str],
     observation: Observation | None = None,
     complete: bool = False,
+    template: Template | None = None,
 ) -> DataFrame:
     """Filter and render a data set: the key columns and ``text``.
 
@@ -75,7 +90,7 @@ def training_texts(
         df = df.observe(observation, F.count("*").alias("rows"), dropped)
     if not complete:
         df = df.filter(whole)
-    return df.select(*key, render_column(df, recipe).alias("text"))
+    return df.select(*key, render_column(df, recipe, template).alias("text"))
 
 
 def training_set(

@@ -54,6 +54,13 @@ def parse_json(df: DataFrame, raw: str, schema: T.StructType) -> DataFrame:
     )
 
 
+def scan_json_lines(
+    spark: SparkSession, library: Library, dataset_id: str, schema: T.StructType
+) -> DataFrame:
+    """A data set of JSON lines, one row per line, with the bad lines marked."""
+    return parse_json(spark.read.text(library.path(dataset_id)), "value", schema).drop("value")
+
+
 def good_rows(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col(BAD).isNull()).drop(BAD)
 
