@@ -14,6 +14,7 @@ from typing import Any
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tunemill.functions import templates
 from tunemill.functions.values import as_text, label_text, literal_text
@@ -112,108 +113,131 @@ def prepare(
 
 # --- many recipes over one source -----------------------------------------
 
+Binding = tuple[str, str | None, str | None]
+INPUT, OUTPUT, CONTEXT = range(3)
+
+
+def _binding(recipe: Recipe) -> Binding:
+    """The columns that a recipe reads as input, output and context."""
+    context = recipe.context_field_name if recipe.output_field_name else None
+    return recipe.input_field_name, recipe.output_field_name, context
 
-def _binding(recipe: Recipe) -> tuple[str, ...]:
-    parts = (
-        recipe.filter_field_name,
-        recipe.input_field_name,
-        recipe.output_field_name,
-        recipe.context_field_name if recipe.output_field_name else None,
-    )
-    return tuple("" if part is None else part for part in parts)
 
+def _bound(df: DataFrame, bindings: Sequence[Binding], part: int) -> Column:
+    """The column each recipe means; where all agree there is nothing to choose."""
 
-def _same_columns(recipes: Iterable[Recipe]) -> list[list[Recipe]]:
-    return [list(group) for _, group in groupby(sorted(recipes, key=_binding), key=_binding)]
+    def as_field(name: str | None) -> Column:
+        if name is None:
+            return F.lit(None).cast("string")
+        text = _field(df, name)
+        return F.coalesce(text, F.lit("")) if part == CONTEXT else text
+
+    names = [binding[part] for binding in bindings]
+    if len(set(names)) == 1:
+        return as_field(names[0])
+    return F.coalesce(
+        *[F.when(F.col("_binding") == i, as_field(name)) for i, name in enumerate(names)]
+    )
 
 
 def _spelled(value: Any) -> str:
     return str(value).lower() if isinstance(value, bool) else str(value)
 
 
-_RECIPE_ROW = "recipe string, context_hint string, input_hint string, names map<string,string>"
+RECIPE_ROW = T.StructType(
+    [
+        T.StructField("_wanted", T.StringType()),
+        T.StructField("_recipe", T.StringType()),
+        T.StructField("_binding", T.IntegerType()),
+        T.StructField("_context_hint", T.StringType()),
+        T.StructField("_input_hint", T.StringType()),
+        T.StructField("_names", T.MapType(T.StringType(), T.StringType())),
+    ]
+)
+
 
+def _recipe_row(recipe: Recipe, bindings: Sequence[Binding]) -> tuple[Any, ...]:
+    texts = recipe.output_field_values_to_texts.items()
+    names = {literal_text(value): literal_text(text) for value, text in texts}
+    binding = bindings.index(_binding(recipe))
+    hints = recipe.context_hint, recipe.input_hint
+    return _spelled(recipe.filter_field_value), recipe.name, binding, *hints, names or None
 
-def _recipe_row(recipe: Recipe) -> tuple[Any, ...]:
-    names = {
-        literal_text(k): literal_text(v) for k, v in recipe.output_field_values_to_texts.items()
-    }
-    return recipe.name, recipe.context_hint, recipe.input_hint, names or None
 
+def _as_struct(row: tuple[Any, ...]) -> Column:
+    """A row of the recipe table as a literal."""
 
-def _fan_out_bound(df: DataFrame, recipes: Sequence[Recipe], key: Sequence[str]) -> DataFrame:
-    """Recipes that read the same columns: one pass over the rows."""
-    first = recipes[0]
-    require_columns(df, *first.columns, *key)
-    spark = df.sparkSession
-    if first.filter_field_name is not None and len(recipes) <= PUSHED_VALUES:
-        # The join below selects the rows; this lets the scan skip others early.
-        any_of = [equals(df, first.filter_field_name, r.filter_field_value) for r in recipes]
+    def literal(value: Any) -> Column:
+        if isinstance(value, dict):
+            return F.create_map(*[F.lit(x) for entry in value.items() for x in entry])
+        return F.lit(value)
+
+    return F.struct(
+        *[literal(v).cast(f.dataType).alias(f.name) for v, f in zip(row, RECIPE_ROW.fields)]
+    )
+
+
+def _with_recipes(df: DataFrame, recipes: Sequence[Recipe], bindings: Sequence[Binding]) -> DataFrame:
+    """Every row once for each recipe that wants it."""
+    rows = [_recipe_row(r, bindings) for r in recipes]
+    name = recipes[0].filter_field_name
+    if name is None:
+        # All rows for all recipes: a short array in each row, no join.
+        return df.select("*", F.inline(F.array(*map(_as_struct, rows))))
+    if len(recipes) <= PUSHED_VALUES:
+        # The join selects the rows; this lets the scan skip others early.
+        any_of = [equals(df, name, r.filter_field_value) for r in recipes]
         df = df.filter(reduce(lambda left, right: left | right, any_of))
-    df = df.filter(F.col(first.input_field_name).isNotNull())
-    has_output = first.output_field_name is not None
-    if has_output:
-        df = df.filter(F.col(first.output_field_name).isNotNull())
-    has_context = has_output and first.context_field_name is not None
-    fields = df.select(
+    table = df.sparkSession.createDataFrame(rows, RECIPE_ROW)
+    typed = table.withColumn("_filter", F.col("_wanted").try_cast(df.schema[name].dataType))
+    return df.join(F.broadcast(typed), F.col(name) == F.col("_filter"))
+
+
+def _fan_out_filtered(df: DataFrame, recipes: Sequence[Recipe], key: Sequence[str]) -> DataFrame:
+    """Recipes that filter by the same column, or not at all: one pass over the rows."""
+    for recipe in recipes:
+        require_columns(df, *recipe.columns, *key)
+    bindings = sorted({_binding(r) for r in recipes}, key=str)
+    joined = _with_recipes(df, recipes, bindings)
+    found = _bound(df, bindings, OUTPUT)
+    fields = joined.select(
+        F.col("_recipe").alias("recipe"),
         *key,
-        *([F.col(first.filter_field_name).alias("_filter")] if first.filter_field_name else []),
-        _field(df, first.input_field_name).alias("_input"),
-        (_field(df, first.output_field_name) if has_output else F.lit(None).cast("string")).alias("_output"),
-        (
-            F.coalesce(_field(df, first.context_field_name), F.lit(""))
-            if has_context
-            else F.lit(None).cast("string")
-        ).alias("_context"),
+        _bound(df, bindings, INPUT).alias("_input"),
+        found.alias("_found"),
+        F.coalesce(F.element_at("_names", found), found).alias("_output"),
+        _bound(df, bindings, CONTEXT).alias("_context"),
+        "_context_hint",
+        "_input_hint",
+        F.col("_binding").isin([i for i, b in enumerate(bindings) if b[OUTPUT] is None]).alias("_plain"),
     )
-    if first.filter_field_name is None:
-        table = [
-            F.struct(
-                F.lit(name).alias("recipe"),
-                F.lit(context_hint).cast("string").alias("context_hint"),
-                F.lit(input_hint).cast("string").alias("input_hint"),
-                (
-                    F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
-                    if names
-                    else F.lit(None)
-                ).cast("map<string,string>").alias("names"),
-            )
-            for name, context_hint, input_hint, names in map(_recipe_row, recipes)
-        ]
-        joined = fields.select("*", F.inline(F.array(*table)))
-    else:
-        filter_type = df.schema[first.filter_field_name].dataType
-        rows = [(_spelled(r.filter_field_value), *_recipe_row(r)) for r in recipes]
-        table = spark.createDataFrame(rows, f"_wanted string, {_RECIPE_ROW}")
-        table = table.select(F.col("_wanted").try_cast(filter_type).alias("_filter"), "*").drop("_wanted")
-        joined = fields.join(F.broadcast(table), "_filter")
-    if has_output:
-        answer = F.coalesce(F.element_at("names", F.col("_output")), F.col("_output"))
-        text = templates.training_text(
-            F.col("_input"), answer, F.col("_context"), F.col("context_hint"), F.col("input_hint")
-        )
-    else:
-        text = templates.pretrain_text(F.col("_input"))
-    return joined.select("recipe", *key, text.alias("text"))
+    whole = fields.filter(F.col("_input").isNotNull() & (F.col("_plain") | F.col("_found").isNotNull()))
+    parts = ("_input", "_output", "_context", "_context_hint", "_input_hint")
+    text = templates.training_text(*[F.col(part) for part in parts])
+    return whole.select("recipe", *key, text.alias("text"))
 
 
 def fan_out(df: DataFrame, recipes: Sequence[Recipe], key: Sequence[str]) -> DataFrame:
     """The texts of many recipes over one source: ``recipe``, the key and ``text``.
 
-    Recipes that differ in the filter value, the hints or the labels share one
-    scan; the recipes, a short list that the caller holds, are sent to every
-    task.
+    Recipes that filter by the same column share one scan, whatever they do
+    with the rows; the recipes, a short list that the caller holds, are sent
+    to every task.
     """
     if not recipes or len(recipes) > MAX_RECIPES:
         raise ValueError(f"between 1 and {MAX_RECIPES} recipes are needed")
     if len({r.source for r in recipes}) > 1:
         raise ValueError("the recipes read different sources")
     sampled = every_kth(df, recipes[0].every_kth)
-    parts = [_fan_out_bound(sampled, same, key) for same in _same_columns(recipes)]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+
+    def by_filter(recipe: Recipe) -> str:
+        return recipe.filter_field_name or ""
+
+    parts = [
+        _fan_out_filtered(sampled, list(same), key)
+        for _, same in groupby(sorted(recipes, key=by_filter), key=by_filter)
+    ]
+    return reduce(lambda done, part: done.unionByName(part), parts)
 
 
 def training_sets(df: DataFrame, recipes: Sequence[Recipe], key: Sequence[str]) -> DataFrame:
