@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunemill.llm import bpe, fingerprint, packing, toxicity
+from tunemill.llm import bpe, fingerprint, packing, pii, toxicity
 from tunemill.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -24,6 +24,10 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(pii.detect(table(spark, sf_dir, "documents")))
+
+
 def best_fit_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_by_source(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": toxicity_scores,
+        "op4_personal_data": personal_data,
         "op5_best_fit": best_fit_bins,
         "op6_fingerprints": digests,
         "op8_bpe": bpe_round_trip,
