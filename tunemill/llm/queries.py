@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunemill.llm import bpe, fingerprint, packing, pii, toxicity
+from tunemill.llm import bpe, fingerprint, packing, pii, secrets, toxicity
 from tunemill.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -28,6 +28,10 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(pii.detect(table(spark, sf_dir, "documents")))
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.summary(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def best_fit_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_by_source(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_best_fit": best_fit_bins,
         "op6_fingerprints": digests,
         "op8_bpe": bpe_round_trip,
+        "op10_secrets": secret_scan,
     }
 
 
