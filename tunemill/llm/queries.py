@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunemill.llm import bpe, fingerprint, packing, pii, secrets, toxicity
+from tunemill.llm import bpe, fingerprint, neighbours, packing, pii, secrets, toxicity, urls
 from tunemill.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -24,6 +24,15 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = sorted({len(path) for _, _, path in urls.RULES})
+    return urls.judge(table(spark, sf_dir, "pages"), urls.rule_table(spark), lengths)
+
+
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(pii.detect(table(spark, sf_dir, "documents")))
 
@@ -49,6 +58,8 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": toxicity_scores,
+        "op2_url_filter": url_verdicts,
+        "op3_nearest": nearest_vectors,
         "op4_personal_data": personal_data,
         "op5_best_fit": best_fit_bins,
         "op6_fingerprints": digests,
@@ -58,4 +69,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_url_filter": urls.ORACLE_SQL}
