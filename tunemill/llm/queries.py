@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunemill.llm import bpe, fingerprint, neighbours, packing, pii, secrets, toxicity, urls
+from tunemill.llm import bpe, fingerprint, near, neighbours, packing, pii, secrets, toxicity, urls
 from tunemill.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -33,6 +33,10 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def near_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(pii.detect(table(spark, sf_dir, "documents")))
 
@@ -63,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_personal_data": personal_data,
         "op5_best_fit": best_fit_bins,
         "op6_fingerprints": digests,
+        "op7_near_duplicates": near_classes,
         "op8_bpe": bpe_round_trip,
         "op10_secrets": secret_scan,
     }
