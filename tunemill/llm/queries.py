@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunemill.llm import bpe, fingerprint, near, neighbours, packing, pii, secrets, toxicity, urls
+from tunemill.llm import bpe, fingerprint, near, neighbours, packing, passages, pii, secrets, toxicity, urls
 from tunemill.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -41,6 +41,10 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(pii.detect(table(spark, sf_dir, "documents")))
 
 
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.removals(table(spark, sf_dir, "documents"))
+
+
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.summary(secrets.scan(table(spark, sf_dir, "documents")))
 
@@ -69,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_fingerprints": digests,
         "op7_near_duplicates": near_classes,
         "op8_bpe": bpe_round_trip,
+        "op9_passages": repeated_passages,
         "op10_secrets": secret_scan,
     }
 
