@@ -16,12 +16,11 @@ VOCABULARY = "word_bpe_49k.json"
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit_documents(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.coalesce(~toxicity.teaches(), F.lit(False)).alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    held_out = F.coalesce(~toxicity.teaches(), F.lit(False))
+    scored = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), held_out.alias("held_out"), toxicity.score(model).alias("score")
     )
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
 def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:

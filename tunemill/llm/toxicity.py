@@ -231,11 +231,11 @@ def fit_documents(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     return fit(rows.select("label", "text"), **settings)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``_score``; the text alone is read, whole, row by row."""
+def score(model: Model, text: str = "text") -> Column:
+    """The score of each text: it alone is read, whole, row by row."""
 
     @F.pandas_udf("double")
     def scored(texts):
         return texts.map(model.score)
 
-    return docs.withColumn("_score", scored(text_or_empty(text)))
+    return scored(text_or_empty(text))
