@@ -166,11 +166,13 @@ def test_perplexity_with_frequent_and_rare_words(spark, head_bytes):
             logs = [math.log((c[t] + 1) / (c.total() + size)) for t in text.split()]
             expected[i, e] = math.exp(-sum(logs) / len(logs))
     found = {(r.id, r.expert): r.ppl for r in made.collect()}
-    assert found.keys() == expected.keys()
-    assert all(math.isclose(found[k], expected[k], rel_tol=1e-9) for k in found)
+    assert found.keys() == expected.keys() | {(101, e) for e in "abc"}
+    assert all(math.isclose(found[k], expected[k], rel_tol=1e-9) for k in expected)
+    assert all(found[101, e] is None for e in "abc")
 
     coefs = {"a": 1.5, "c": 0.5}
     chosen = {r.id: (r.expert, r.score) for r in choose_expert(made, "id", coefs).collect()}
+    assert chosen[101] == (None, None)
     for i in {i for i, _ in expected}:
         score, expert = min((expected[i, e] * coefs.get(e, 1), e) for e in "abc")
         assert chosen[i][0] == expert and math.isclose(chosen[i][1], score, rel_tol=1e-9)

@@ -227,7 +227,7 @@ def test_evaluation(spark):
         "recipe string, pos int, variant string, output string",
     )
     assert {tuple(r) for r in comparison(items, outputs).collect()} == {("r1", 1, 2, 1), ("r2", 1, 0, -1)}
-    assert {tuple(r) for r in scores(items, outputs).collect()} >= {("r1", "tuned", 2, 2), ("r2", "tuned", 0, 1)}
+    assert {tuple(r) for r in scores(items, outputs).collect()} >= {("r1", "tuned", 2, 3), ("r2", "tuned", 0, 1)}
 
 
 def test_recipe_file(tmp_path):
@@ -274,7 +274,7 @@ def test_no_slow_operators(spark, name):
     plan = plan_of(queries()[name](spark, str(DATA)))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert ("MapInPandas" in plan) == (name == "map_rows")
+    assert ("MapInPandas" in plan) == name.startswith("map_rows")
 
 
 @needs_data

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import functions as F
-
 from tunemill.operators.voting import vote_consensus
 from tunemill.plans.catalog import load_catalog
 from tunemill.plans.evaluation import comparison, evaluation_items, recipe_table, with_prompts
@@ -14,6 +12,8 @@ from tunemill.plans.training import run_recipes
 from tunemill.session import get_session
 from tunemill.sources.datasets import Library
 
+SHOWN = 20
+
 
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tunemill")
@@ -39,9 +39,11 @@ def _arguments() -> argparse.Namespace:
     score = commands.add_parser("score", help="compare base and tuned outputs")
     score.add_argument("recipes", nargs="+")
     score.add_argument("--outputs", required=True, help="parquet: recipe, pos, variant, output")
+    score.add_argument("--out", help="folder for the scores as a table; printed if not given")
 
     vote = commands.add_parser("vote", help="the answer most models give")
     vote.add_argument("--responses", required=True, help="parquet: item, voter_pos, response")
+    vote.add_argument("--out", help="folder for the answers as a table; the first are printed if not given")
     return parser.parse_args()
 
 
@@ -65,10 +67,21 @@ def main() -> None:
         with_prompts(items).write.mode("overwrite").parquet(args.out)
     elif args.command == "score":
         items = evaluation_items(recipe_table(spark, recipes))
-        comparison(items, spark.read.parquet(args.outputs)).orderBy("recipe").show(len(recipes), False)
+        compared = comparison(items, spark.read.parquet(args.outputs))
+        if args.out:
+            compared.write.mode("overwrite").parquet(args.out)
+        else:
+            compared.orderBy("recipe").show(len(recipes), False)
     else:
         responses = spark.read.parquet(args.responses)
-        vote_consensus(responses, "item", "response", "voter_pos").orderBy(F.col("item")).show(truncate=False)
+        answers = vote_consensus(responses, "item", "response", "voter_pos")
+        if args.out:
+            answers.write.mode("overwrite").parquet(args.out)
+        else:
+            answers.orderBy("item").show(SHOWN, False)
+            more = answers.count() - SHOWN
+            if more > 0:
+                print(f"{more} more items; --out writes all of them")
 
 
 if __name__ == "__main__":

@@ -16,6 +16,15 @@ def require_columns(df: DataFrame, *names: str | None) -> None:
         raise ValueError(f"no such column: {', '.join(missing)}; there are {', '.join(df.columns)}")
 
 
+def literal(df: DataFrame, name: str, value: Any) -> Column:
+    """A value as the type of a column, NULL where that type cannot hold it."""
+    require_columns(df, name)
+    data_type = df.schema[name].dataType
+    if isinstance(value, float) and isinstance(data_type, T.IntegralType) and value % 1:
+        return F.lit(None).cast(data_type)
+    return F.lit(value).try_cast(data_type)
+
+
 def equals(df: DataFrame, name: str, value: Any) -> Column:
     """``column == value`` with the *literal* cast to the column's type.
 
@@ -24,11 +33,7 @@ def equals(df: DataFrame, name: str, value: Any) -> Column:
     that does not exist in the column's type matches no row, and neither does
     NULL.
     """
-    require_columns(df, name)
-    data_type = df.schema[name].dataType
-    if isinstance(value, float) and isinstance(data_type, T.IntegralType) and value % 1:
-        return F.lit(False)
-    return F.col(name) == F.lit(value).try_cast(data_type)
+    return F.col(name) == literal(df, name, value)
 
 
 def filter_equals(df: DataFrame, name: str, value: Any) -> DataFrame:

@@ -16,7 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-OFFSET = "_offset"
+OFFSET, BUCKET = "_offset", "_bucket_key"
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """An inner join in which NULL meets NULL; the columns of ``left``, then the others of ``right``."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}" if c in keys else c) for c in right.columns])
+    condition = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(renamed, condition).drop(*[f"_r_{k}" for k in keys])
 
 
 def bucket_offsets(
@@ -46,7 +53,7 @@ def bucket_offsets(
         if offsets is None:
             offsets = step.withColumnRenamed("_step", OFFSET)
         else:
-            offsets = step.join(offsets, here[:-1]).select(
+            offsets = _null_safe_join(step, offsets, here[:-1]).select(
                 *here, (F.col(OFFSET) + F.col("_step")).alias(OFFSET)
             )
     return offsets
@@ -68,12 +75,16 @@ def running_total(
     ``order`` is the order inside a finest bucket.  ``small_offsets`` says that
     the number of buckets has a fixed bound, so that their totals can be sent
     to every task; otherwise they are joined on the bucket, by which the rows
-    have to be partitioned anyway.  ``measured`` has the bucket columns and
+    have to be partitioned anyway.  A NULL group or level is a group or bucket
+    like others.  ``measured`` has the bucket columns and
     ``value`` of the same rows, if they can be had at less cost than ``df``.
     """
     keys = [*group, *levels]
     offsets = bucket_offsets(df if measured is None else measured, value, levels, group, descending)
-    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = df.withColumn(name, F.sum(value).over(inside))
-    joined = summed.join(F.broadcast(offsets) if small_offsets else offsets, keys)
-    return joined.withColumn(name, F.col(name) + F.col(OFFSET)).drop(OFFSET)
+    # A struct of the keys equals another where both have NULL, and window and join share its partitioning.
+    bucket = F.struct(*keys).alias(BUCKET)
+    inside = Window.partitionBy(BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = df.select("*", bucket).withColumn(name, F.sum(value).over(inside))
+    placed = offsets.select(bucket, OFFSET)
+    joined = summed.join(F.broadcast(placed) if small_offsets else placed, BUCKET)
+    return joined.withColumn(name, F.col(name) + F.col(OFFSET)).drop(OFFSET, BUCKET)

@@ -47,7 +47,7 @@ def unigram_perplexity(
     experts: Sequence[str],
     head_bytes: int = HEAD_BYTES,
 ) -> DataFrame:
-    """The key and ``scores``, an array of ``expert, expert_pos, ppl`` per text.
+    """The key and ``scores``, an array of ``expert, expert_pos, ppl`` per text (``ppl`` NULL without words).
 
     With add-one smoothing, ``log p = log(count + 1) - log(total + vocabulary)``.
     A word an expert has never seen adds nothing to the first term, so only
@@ -60,7 +60,9 @@ def unigram_perplexity(
     cut into words once: both branches start from the same shuffled sums.
     """
     size = len(experts)
-    head_words = max(1, head_bytes // (64 + 16 * size))
+    # A word's share of the memory: its own length, its counts, and some for the table.
+    longest = model.agg(F.coalesce(F.max(F.octet_length("token")), F.lit(0))).scalar()
+    head_words = F.greatest(F.lit(1), F.lit(head_bytes) / (longest + F.lit(48 + 16 * size)))
     sized = model.select(
         "token",
         _array_sum("counts").alias("_all"),
@@ -71,13 +73,14 @@ def unigram_perplexity(
     head = sized.filter(frequent).select("token", "_logs")
     tail = sized.filter(~frequent).select("token", "_logs")
 
-    words = df.select(F.col(key), F.explode(tokens).alias("token"))
+    # A text without words stays, with one NULL word that counts for nothing.
+    words = df.select(F.col(key), F.explode_outer(tokens).alias("token"))
     looked_up = words.join(F.broadcast(head), "token", "left")
     rare = F.when(F.col("_logs").isNull(), F.col("token"))
     sums = [f"_s{i}" for i in range(size)]
     log_sums = [F.sum(_log(i)).alias(s) for i, s in enumerate(sums)]
     parts = looked_up.groupBy(key, rare.alias("_rare")).agg(
-        F.count("*").alias("_n"), F.count("_logs").alias("_known"), *log_sums
+        F.count("token").alias("_n"), F.count("_logs").alias("_known"), *log_sums
     )
     # The conditions are on a count, so they stay above the shuffle; and both
     # branches use all columns of it, so it is the same shuffle for both.
@@ -104,7 +107,7 @@ def unigram_perplexity(
         F.struct(
             F.lit(name).alias("expert"),
             F.lit(i).alias("expert_pos"),
-            F.exp(F.get("_base", F.lit(i)) - F.col(f"_s{i}") / F.col("_n")).alias("ppl"),
+            F.exp(F.get("_base", F.lit(i)) - F.col(f"_s{i}") / F.nullif(F.col("_n"), F.lit(0))).alias("ppl"),
         )
         for i, name in enumerate(experts)
     ]
@@ -117,10 +120,14 @@ def _weighted(score: Column, coefs: Mapping[str, float] | None) -> Column:
     if coefs:
         table = F.create_map(*[F.lit(x) for name, c in coefs.items() for x in (name, float(c))])
         weight = F.coalesce(F.element_at(table, score["expert"]), F.lit(1.0))
-    return F.struct(
-        (score["ppl"] * weight).alias("score"),
-        score["expert_pos"].alias("expert_pos"),
-        score["expert"].alias("expert"),
+    weighted = score["ppl"] * weight
+    return F.when(
+        weighted.isNotNull() & ~F.isnan(weighted),
+        F.struct(
+            weighted.alias("score"),
+            score["expert_pos"].alias("expert_pos"),
+            score["expert"].alias("expert"),
+        ),
     )
 
 
@@ -132,6 +139,8 @@ def choose_scored(df: DataFrame, key: str, coefs: Mapping[str, float] | None = N
     """The expert with the lowest ``ppl`` times its coefficient, the first on ties.
 
     Reads the ``scores`` of :func:`unigram_perplexity`; nothing is shuffled.
+    An expert without a score (NULL or NaN) is never chosen; a text that none
+    has scored keeps its row, with NULL.
     """
     best = F.array_min(F.transform("scores", lambda score: _weighted(score, coefs)))
     return df.select(key, best.alias("_best")).select(key, *_choice())

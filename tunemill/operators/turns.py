@@ -1,7 +1,6 @@
 """Conversations: turns with their neighbours, and whole chats as text.
 
-A turn is identified by ``(conv_id, turn)``, and turns are numbered without
-gaps.  Nothing here brings a whole conversation to one task, since one may hold
+A turn is identified by ``(conv_id, turn)``.  Nothing here brings a whole conversation to one task, since one may hold
 a large part of all turns: it is handled in stretches of turn numbers.
 """
 
@@ -18,39 +17,50 @@ from tunemill.functions.values import whole_div
 PART_TURNS = 1_000
 
 
-def with_neighbours(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
+def with_neighbours(turns: DataFrame, part_turns: int = PART_TURNS, over_gaps: bool = False) -> DataFrame:
     """Add the role and text of the turn before (``prev_``) and after (``next_``).
 
-    One scan and one shuffle.  The first and last turn of a stretch are copied
-    to the stretch beside it, where they serve as neighbours only.
+    Where numbers are missing, what was said there is unknown: the turns beside
+    the gap have no neighbour on that side, unless ``over_gaps`` asks for the
+    next turn there is.  Turns are compared within a stretch; its first and last take theirs from a
+    table with the ends of each stretch.  NULL is a conversation like others.
     """
-    parts = F.array(*[F.expr(f"(turn + {step}) div {part_turns}") for step in (-1, 0, 1)])
-    copied = turns.withColumn("_part", F.explode(F.array_distinct(parts)))
-    order = Window.partitionBy("conv_id", "_part").orderBy("turn")
     said = F.struct("turn", "role", "text")
-    seen = copied.withColumn("_prev", F.lag(said).over(order)).withColumn(
-        "_next", F.lead(said).over(order)
+    stretched = turns.withColumn("_part", whole_div("turn", part_turns)).withColumn("_conv", F.struct("conv_id"))
+    ends = stretched.groupBy("_conv", "_part").agg(F.min(said).alias("_first"), F.max(said).alias("_last"))
+    stretches = Window.partitionBy("_conv").orderBy("_part")
+    beside = ends.select(
+        "_conv",
+        "_part",
+        F.lag("_last").over(stretches).alias("_before"),
+        F.lead("_first").over(stretches).alias("_after"),
     )
-    own = seen.filter(whole_div("turn", part_turns) == F.col("_part"))
+    order = Window.partitionBy("_conv", "_part").orderBy("turn")
+    seen = stretched.withColumn("_prev", F.lag(said).over(order)).withColumn("_next", F.lead(said).over(order))
+    joined = seen.join(beside, ["_conv", "_part"], "left")
 
-    def neighbour(side: str, step: int, field: str) -> Column:
-        adjacent = F.col(f"_{side}.turn") == F.col("turn") + step
-        return F.when(adjacent, F.col(f"_{side}.{field}")).alias(f"{side}_{field}")
+    def neighbour(side: str, end: str, field: str) -> Column:
+        other = F.coalesce(F.col(f"_{side}"), F.col(f"_{end}"))
+        adjacent = F.lit(over_gaps) | (F.abs(other["turn"] - F.col("turn")) == 1)
+        return F.when(adjacent, other[field]).alias(f"{side}_{field}")
 
-    return own.select(
+    return joined.select(
         *turns.columns,
-        neighbour("prev", -1, "role"),
-        neighbour("prev", -1, "text"),
-        neighbour("next", 1, "role"),
-        neighbour("next", 1, "text"),
+        neighbour("prev", "before", "role"),
+        neighbour("prev", "before", "text"),
+        neighbour("next", "after", "role"),
+        neighbour("next", "after", "text"),
     )
 
 
-def question_answer_pairs(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
-    """Every user turn that the assistant answers next, and what was said before it."""
+def question_answer_pairs(turns: DataFrame, part_turns: int = PART_TURNS, over_gaps: bool = False) -> DataFrame:
+    """Every user turn that the assistant answers next, and what was said before it.
+
+    See :func:`with_neighbours` for turns beside a gap: by default they make no pair.
+    """
     answered = (F.col("role") == "user") & (F.col("next_role") == "assistant")
     return (
-        with_neighbours(turns, part_turns)
+        with_neighbours(turns, part_turns, over_gaps)
         .filter(answered)
         .select(
             "conv_id",
@@ -63,12 +73,14 @@ def question_answer_pairs(turns: DataFrame, part_turns: int = PART_TURNS) -> Dat
     )
 
 
-def chat_text(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
+def chat_text(turns: DataFrame, part_turns: int) -> DataFrame:
     """All turns of a conversation in order, with an open assistant tag if one is due.
 
-    Gives ``conv_id, part, n_turns, text``.  Up to ``part_turns`` turns make
-    one part; ordinary conversations have part 0 only, and the parts of a huge
-    one, put together in order, are its text.
+    Gives ``conv_id, part, n_turns, text``; a row is identified by ``(conv_id,
+    part)``.  Part ``p`` holds the turns from ``p * part_turns`` on, as many as
+    ``part_turns``, which the caller has to choose: chats of fewer turns are
+    part 0, the parts of a longer one, put together in order, are its text, and
+    only the last may end with an open tag.
     """
     # The first turn of a part is announced to the part before, which then
     # knows that the chat goes on.

@@ -38,8 +38,9 @@ def vote_ranking(
 ) -> DataFrame:
     """All answers of an item, numbered from 1 by votes, then by first appearance.
 
-    ``position`` is an integer that no two rows share, and no item is NULL.  An item with a
-    great many different answers is ranked in ranges of positions.
+    ``position`` is an integer that no two rows share.  NULL is an item like
+    others, and NULL positions come first, in the order of the answers.  An
+    item with a great many different answers is ranked in ranges of positions.
     """
     counted = vote_counts(responses, item, response, position).withColumn(
         "_range", whole_div("first_pos", rank_range)
@@ -48,7 +49,7 @@ def vote_ranking(
         counted,
         F.lit(1).cast("bigint"),
         levels=["votes", "_range"],
-        order=[F.col("first_pos")],
+        order=[F.col("first_pos"), F.col(response)],
         name="rank",
         group=[item],
         descending=["votes"],

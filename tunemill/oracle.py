@@ -236,6 +236,35 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, lang, source, n_chars FROM documents d
             WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
         "recipe_fanout": FANOUT,
+        "recipe_fanout_mixed": f"""
+            SELECT 'mixed-en' AS recipe, doc_id, {pretrain('text')} AS text FROM documents WHERE lang = 'en'
+            UNION ALL SELECT 'mixed-src', doc_id, {pretrain('text')} FROM documents WHERE source = 'src3'
+            UNION ALL SELECT 'mixed-all', doc_id, {pretrain('text')} FROM documents""",
+        "vote_ranking_nulls": """
+            WITH given AS (
+              SELECT CASE WHEN user_id % 5 <> 0 THEN user_id END AS user_id, event_type, event_id FROM events
+            ), counted AS (
+              SELECT user_id, event_type, count(*) AS votes, min(event_id) AS first_pos FROM given GROUP BY ALL
+            )
+            SELECT user_id, event_type, votes,
+                   row_number() OVER (PARTITION BY user_id ORDER BY votes DESC, first_pos) AS rank
+            FROM counted""",
+        "elapsed_nulls": """
+            WITH given AS (
+              SELECT event_id, CASE WHEN user_id % 3 <> 0 THEN user_id END AS user_id, ts FROM events
+            )
+            SELECT event_id, user_id, epoch_us(lead(ts) OVER w) - epoch_us(ts) AS elapsed_us
+            FROM given WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+        "route_blank": f"""
+            WITH blanked AS (
+              SELECT doc_id, lang, CASE WHEN doc_id % 7 = 0 THEN '' ELSE text END AS text FROM documents
+            ), {UNIGRAMS.replace('FROM documents', 'FROM blanked')}, chosen AS (
+              SELECT doc_id, arg_min(expert, (ppl * coef, expert_pos)) AS expert,
+                     round(min(ppl * coef), 4) AS score
+              FROM scores GROUP BY doc_id
+            )
+            SELECT doc_id, expert, score FROM blanked LEFT JOIN chosen USING (doc_id)""",
+        "map_rows_changed": "SELECT doc_id, upper(lang) AS lang, text FROM documents",
         "split_counts": f"SELECT split, lang, count(*) AS n_rows FROM ({SPLIT_DOCS}) GROUP BY split, lang",
         "filter_equals": "SELECT doc_id, lang, text FROM documents WHERE lang = 'de'",
         "filter_equals_int": "SELECT doc_id, quality, toxic FROM labels WHERE quality = 0",

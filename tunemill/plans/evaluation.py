@@ -55,7 +55,16 @@ def with_prompts(items: DataFrame) -> DataFrame:
 
 
 def _answered(items: DataFrame, outputs: DataFrame) -> DataFrame:
-    return items.join(outputs, ["recipe", "pos"]).select("recipe", "pos", "variant", "output", "expected")
+    """Every item once for each variant that answered anything; a missing output is NULL and scores 0.
+
+    Variants are few (base, tuned), so they are a short array in each item.
+    """
+    variants = outputs.agg(F.array_sort(F.collect_set("variant"))).scalar()
+    asked = items.select("recipe", "pos", "expected", F.explode(variants).alias("variant"))
+    given = outputs.select("recipe", "pos", "variant", "output")
+    return asked.join(given, ["recipe", "pos", "variant"], "left").select(
+        "recipe", "pos", "variant", "output", "expected"
+    )
 
 
 def scores(items: DataFrame, outputs: DataFrame) -> DataFrame:

@@ -11,24 +11,25 @@ from functools import reduce
 from itertools import groupby
 from typing import Any
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunemill.functions import templates
 from tunemill.functions.values import as_text, label_text, literal_text
-from tunemill.operators.filters import equals, filter_equals, require_columns
+from tunemill.operators.filters import filter_equals, literal, require_columns
 from tunemill.operators.sampling import every_kth, split_exact, split_exact_by
 from tunemill.plans.recipe import SPLIT_SEED, TEST_SHARE, Recipe
-from tunemill.sources.datasets import Library, scan, write_splits
+from tunemill.sources.datasets import FAILURES, Library, clear_folders, reason, scan, write_splits
 
 Template = Callable[[Mapping[str, Column]], Column]
 
-# Recipes sent to every task at most; more would have to come from a table.
-MAX_RECIPES = 10_000
-# Filter values that are also spelled out for the scan.
+# Up to this many recipes their table (names and hints, a few MB) is sent to every task; beyond, a shuffle.
+BROADCAST_RECIPES = 10_000
+# Filter values that are spelled out for the scan; more come from a table, with the same result.
 PUSHED_VALUES = 100
+# Literals that are cast together.
+LITERALS = 500
 
 
 def _field(df: DataFrame, name: str) -> Column:
@@ -103,11 +104,20 @@ def training_set(
 
 
 def prepare(
-    spark: SparkSession, library: Library, recipe: Recipe, key: Sequence[str], out: str
+    spark: SparkSession,
+    library: Library,
+    recipe: Recipe,
+    key: Sequence[str],
+    out: str,
+    complete: bool = False,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Write the training set of one recipe and return it as stored."""
-    source = scan(spark, library, recipe.dataset_id, recipe.load_config)
-    write_splits(training_set(source, recipe, key), out)
+    """Write the training set of one recipe and return it as stored.
+
+    ``complete``: see :func:`training_texts`.  ``schema``: the declared one.
+    """
+    source = scan(spark, library, recipe.dataset_id, recipe.load_config, schema=schema)
+    write_splits(training_set(source, recipe, key, complete), out)
     return spark.read.parquet(out)
 
 
@@ -140,13 +150,8 @@ def _bound(df: DataFrame, bindings: Sequence[Binding], part: int) -> Column:
     )
 
 
-def _spelled(value: Any) -> str:
-    return str(value).lower() if isinstance(value, bool) else str(value)
-
-
 RECIPE_ROW = T.StructType(
     [
-        T.StructField("_wanted", T.StringType()),
         T.StructField("_recipe", T.StringType()),
         T.StructField("_binding", T.IntegerType()),
         T.StructField("_context_hint", T.StringType()),
@@ -160,45 +165,83 @@ def _recipe_row(recipe: Recipe, bindings: Sequence[Binding]) -> tuple[Any, ...]:
     texts = recipe.output_field_values_to_texts.items()
     names = {literal_text(value): literal_text(text) for value, text in texts}
     binding = bindings.index(_binding(recipe))
-    hints = recipe.context_hint, recipe.input_hint
-    return _spelled(recipe.filter_field_value), recipe.name, binding, *hints, names or None
-
+    return recipe.name, binding, recipe.context_hint, recipe.input_hint, names or None
 
-def _as_struct(row: tuple[Any, ...]) -> Column:
-    """A row of the recipe table as a literal."""
 
-    def literal(value: Any) -> Column:
-        if isinstance(value, dict):
-            return F.create_map(*[F.lit(x) for entry in value.items() for x in entry])
-        return F.lit(value)
+def _numbers_by_value(df: DataFrame, recipes: Sequence[Recipe]) -> dict[str, dict[Any, list[int]]]:
+    """For each filter column, the numbers of the recipes by the value they ask for.
 
-    return F.struct(
-        *[literal(v).cast(f.dataType).alias(f.name) for v, f in zip(row, RECIPE_ROW.fields)]
-    )
+    The values are cast as :func:`equals` casts them, all at once, by Spark;
+    one that the column's type cannot hold, or NULL, asks for no row.
+    """
+    asked = [(i, r.filter_field_name, r.filter_field_value) for i, r in enumerate(recipes) if r.filter_field_name]
+    if not asked:
+        return {}
+    numbers: dict[str, dict[Any, list[int]]] = {}
+    for start in range(0, len(asked), LITERALS):
+        part = asked[start : start + LITERALS]
+        cast = [literal(df, name, value).alias(f"v{i}") for i, name, value in part]
+        row = df.sparkSession.range(1).select(*cast).first()
+        for i, name, _ in part:
+            if row[f"v{i}"] is not None:
+                numbers.setdefault(name, {}).setdefault(row[f"v{i}"], []).append(i)
+    return numbers
 
 
 def _with_recipes(df: DataFrame, recipes: Sequence[Recipe], bindings: Sequence[Binding]) -> DataFrame:
-    """Every row once for each recipe that wants it."""
-    rows = [_recipe_row(r, bindings) for r in recipes]
-    name = recipes[0].filter_field_name
-    if name is None:
-        # All rows for all recipes: a short array in each row, no join.
-        return df.select("*", F.inline(F.array(*map(_as_struct, rows))))
-    if len(recipes) <= PUSHED_VALUES:
-        # The join selects the rows; this lets the scan skip others early.
-        any_of = [equals(df, name, r.filter_field_value) for r in recipes]
-        df = df.filter(reduce(lambda left, right: left | right, any_of))
-    table = df.sparkSession.createDataFrame(rows, RECIPE_ROW)
-    typed = table.withColumn("_filter", F.col("_wanted").try_cast(df.schema[name].dataType))
-    return df.join(F.broadcast(typed), F.col(name) == F.col("_filter"))
-
-
-def _fan_out_filtered(df: DataFrame, recipes: Sequence[Recipe], key: Sequence[str]) -> DataFrame:
-    """Recipes that filter by the same column, or not at all: one pass over the rows."""
+    """Every row once for each recipe that wants it, from one scan.
+
+    Each filter column is looked up in a map from values to recipe numbers;
+    the numbers found, and those of recipes without a filter, become rows, and
+    the recipes' other attributes come from a table by number.
+    """
+    spark = df.sparkSession
+    table = spark.createDataFrame([(i, *_recipe_row(r, bindings)) for i, r in enumerate(recipes)],
+                                  T.StructType([T.StructField("_number", T.IntegerType()), *RECIPE_ROW.fields]))
+    whole = [i for i, r in enumerate(recipes) if r.filter_field_name is None]
+    found = [F.array(*map(F.lit, whole)).cast("array<int>")]
+    wanted = [F.lit(True)] if whole else []
+    numbers = _numbers_by_value(df, recipes)
+    for name, by_value in numbers.items():
+        if len(by_value) <= PUSHED_VALUES:
+            # Any of the values: the scan skips others early where all recipes filter.
+            wanted += [F.col(name) == F.lit(value) for value in by_value]
+            hits = [F.when(F.col(name) == F.lit(value), F.array(*map(F.lit, some))) for value, some in by_value.items()]
+            found.append(F.coalesce(*hits, F.array().cast("array<int>")))
+        else:
+            wanted.append(F.col(name).isNotNull())
+            rows = [(value, some) for value, some in by_value.items()]
+            kind = T.StructType([T.StructField("_value", df.schema[name].dataType), T.StructField("_some", T.ArrayType(T.IntegerType()))])
+            lookup = _listed(spark.createDataFrame(rows, kind), len(rows))
+            df = df.join(lookup, F.col(name) == F.col("_value"), "left").drop("_value")
+            df = df.withColumnRenamed("_some", f"_some_{len(found)}")
+            found.append(F.coalesce(F.col(f"_some_{len(found)}"), F.array().cast("array<int>")))
+    if not whole:
+        df = df.filter(reduce(lambda left, right: left | right, wanted) if wanted else F.lit(False))
+    numbered = df.withColumn("_number", F.explode(F.concat(*found)))
+    return numbered.join(_listed(table, len(recipes)), "_number")
+
+
+def _listed(table: DataFrame, rows: int) -> DataFrame:
+    """A table of recipes, sent to every task while it is short."""
+    return F.broadcast(table) if rows <= BROADCAST_RECIPES else table
+
+
+def fan_out(df: DataFrame, recipes: Sequence[Recipe], key: Sequence[str]) -> DataFrame:
+    """The texts of many recipes over one source: ``recipe``, the key and ``text``.
+
+    All recipes share one scan, whatever they filter by and do with the rows.
+    The number of recipes changes the plan, never the result.
+    """
+    if not recipes:
+        raise ValueError("no recipes")
+    if len({r.source for r in recipes}) > 1:
+        raise ValueError("the recipes read different sources")
     for recipe in recipes:
         require_columns(df, *recipe.columns, *key)
+    sampled = every_kth(df, recipes[0].every_kth)
     bindings = sorted({_binding(r) for r in recipes}, key=str)
-    joined = _with_recipes(df, recipes, bindings)
+    joined = _with_recipes(sampled, recipes, bindings)
     found = _bound(df, bindings, OUTPUT)
     fields = joined.select(
         F.col("_recipe").alias("recipe"),
@@ -217,29 +260,6 @@ def _fan_out_filtered(df: DataFrame, recipes: Sequence[Recipe], key: Sequence[st
     return whole.select("recipe", *key, text.alias("text"))
 
 
-def fan_out(df: DataFrame, recipes: Sequence[Recipe], key: Sequence[str]) -> DataFrame:
-    """The texts of many recipes over one source: ``recipe``, the key and ``text``.
-
-    Recipes that filter by the same column share one scan, whatever they do
-    with the rows; the recipes, a short list that the caller holds, are sent
-    to every task.
-    """
-    if not recipes or len(recipes) > MAX_RECIPES:
-        raise ValueError(f"between 1 and {MAX_RECIPES} recipes are needed")
-    if len({r.source for r in recipes}) > 1:
-        raise ValueError("the recipes read different sources")
-    sampled = every_kth(df, recipes[0].every_kth)
-
-    def by_filter(recipe: Recipe) -> str:
-        return recipe.filter_field_name or ""
-
-    parts = [
-        _fan_out_filtered(sampled, list(same), key)
-        for _, same in groupby(sorted(recipes, key=by_filter), key=by_filter)
-    ]
-    return reduce(lambda done, part: done.unionByName(part), parts)
-
-
 def training_sets(df: DataFrame, recipes: Sequence[Recipe], key: Sequence[str]) -> DataFrame:
     """:func:`fan_out` with an exact split inside every recipe."""
     texts = fan_out(df, recipes, key)
@@ -254,6 +274,12 @@ def not_done(df: DataFrame, manifest: DataFrame, *key: str) -> DataFrame:
     return df.join(manifest.select(*key), list(key), "left_anti")
 
 
+def check_recipe(df: DataFrame, recipe: Recipe, key: Sequence[str]) -> None:
+    """Fail if a recipe cannot be planned over its source, before any other one is held up by it."""
+    require_columns(df, *recipe.columns, *key)
+    training_texts(df, recipe, key)
+
+
 def run_recipes(
     spark: SparkSession,
     library: Library,
@@ -261,23 +287,52 @@ def run_recipes(
     key: Sequence[str],
     out: str,
     done: Iterable[str] = (),
+    schemas: Mapping[str, T.StructType] | None = None,
 ) -> dict[str, str]:
     """Write the training sets of all recipes that are not done, source by source.
 
-    Gives ``ok`` or the reason of failure per recipe.  Each source has a
-    folder of its own below ``out``, so a repeated or resumed run overwrites
-    only what it computes again.
+    Gives ``ok`` or the reason of failure per recipe.  A recipe that its source
+    cannot serve is left out and the others of the source go on; if the job
+    itself fails, each of them is tried alone.  Each source has the folder
+    ``<id>/config=<name>`` (``config=default`` without one) below ``out``, with
+    a folder for each recipe in it, which a repeated run replaces whole.
+    ``schemas`` has the declared schema of data sets by id: no file is then
+    read to guess it.
     """
     finished = set(done)
     pending = sorted((r for r in recipes if r.name not in finished), key=lambda r: (r.dataset_id, r.load_config or ""))
     outcome: dict[str, str] = {}
     for (dataset_id, config), group in groupby(pending, key=lambda r: r.source):
         members = list(group)
+        folder = f"{out.rstrip('/')}/{dataset_id}/config={config or 'default'}"
         try:
-            source = scan(spark, library, dataset_id, config)
-            folder = "/".join(part for part in (out.rstrip("/"), dataset_id, config) if part)
-            write_splits(training_sets(source, members, key), folder, "recipe")
-            outcome |= {r.name: "ok" for r in members}
-        except (PySparkException, ValueError) as error:
-            outcome |= {r.name: str(error).splitlines()[0] for r in members}
+            source = scan(spark, library, dataset_id, config, schema=(schemas or {}).get(dataset_id))
+        except FAILURES as error:
+            outcome |= {r.name: reason(error) for r in members}
+            continue
+        good = []
+        for recipe in members:
+            try:
+                check_recipe(source, recipe, key)
+                good.append(recipe)
+            except FAILURES as error:
+                outcome[recipe.name] = reason(error)
+        outcome |= _write_together(source, good, key, folder)
+    return outcome
+
+
+def _write_together(source: DataFrame, recipes: Sequence[Recipe], key: Sequence[str], folder: str) -> dict[str, str]:
+    """Write recipes in one job; if it fails, each by itself."""
+    if not recipes:
+        return {}
+    try:
+        clear_folders(source.sparkSession, folder, "recipe", [r.name for r in recipes])
+        write_splits(training_sets(source, recipes, key), folder, "recipe")
+        return {r.name: "ok" for r in recipes}
+    except FAILURES as error:
+        if len(recipes) == 1:
+            return {recipes[0].name: reason(error)}
+    outcome: dict[str, str] = {}
+    for recipe in recipes:
+        outcome |= _write_together(source, [recipe], key, folder)
     return outcome

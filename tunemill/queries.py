@@ -58,6 +58,7 @@ EXPERTS = ("de", "en", "es", "fr")
 COEFS = {"de": 1.0, "en": 1.25, "es": 0.9, "fr": 1.0}
 SAMPLE_ROWS = 100
 MAX_TOKENS = 128
+CHAT_PART_TURNS = 1_000
 BLOCK = 256
 SIZE_LIMIT = 120_000
 RECIPES = (
@@ -268,7 +269,7 @@ def prompt_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat_text(table(spark, sf_dir, "conversations"))
+    return chat_text(table(spark, sf_dir, "conversations"), part_turns=CHAT_PART_TURNS)
 
 
 def chat_format_inst(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -443,6 +444,45 @@ def elapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return time_to_next(events, "user_id", "ts", "event_id").select("event_id", "user_id", "elapsed_us")
 
 
+def _some_null(events: DataFrame, name: str, every: int) -> DataFrame:
+    """Events in which a part of the users has lost its id."""
+    return events.withColumn(name, F.when(F.col(name) % every != 0, F.col(name)))
+
+
+def vote_ranking_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _some_null(table(spark, sf_dir, "events"), "user_id", 5)
+    return vote_ranking(events, "user_id", "event_type", "event_id")
+
+
+def elapsed_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _some_null(table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "user_id", 3)
+    return time_to_next(events, "user_id", "ts", "event_id").select("event_id", "user_id", "elapsed_us")
+
+
+def route_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    blanked = docs.withColumn("text", F.when(F.col("doc_id") % 7 == 0, "").otherwise(F.col("text")))
+    tokens = words(F.col("text"))
+    model = fit_unigrams(blanked, F.col("lang"), tokens, EXPERTS)
+    chosen = choose_scored(unigram_perplexity(blanked, "doc_id", tokens, model, EXPERTS), "doc_id", COEFS)
+    return chosen.select("doc_id", "expert", F.round("score", 4).alias("score"))
+
+
+def recipe_fanout_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recipes that filter by different columns, or not at all."""
+    recipes = [
+        Recipe("mixed-en", "documents", "text", filter_field_name="lang", filter_field_value="en"),
+        Recipe("mixed-src", "documents", "text", filter_field_name="source", filter_field_value="src3"),
+        Recipe("mixed-all", "documents", "text"),
+    ]
+    return fan_out(_documents(spark, sf_dir), recipes, ["doc_id"])
+
+
+def map_rows_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "lang", "text")
+    return map_rows(docs, lambda part: part.assign(lang=part["lang"].str.upper()))
+
+
 def map_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_rows(_documents(spark, sf_dir).select("doc_id", "lang", "text"), lambda part: part)
 
@@ -482,6 +522,11 @@ def queries() -> dict[str, Query]:
         "ingest_quarantine": ingest_quarantine,
         "incremental_skip": incremental_skip,
         "recipe_fanout": recipe_fanout,
+        "recipe_fanout_mixed": recipe_fanout_mixed,
+        "vote_ranking_nulls": vote_ranking_nulls,
+        "elapsed_nulls": elapsed_nulls,
+        "route_blank": route_blank,
+        "map_rows_changed": map_rows_changed,
         "split_counts": split_counts_query,
         "filter_equals": filter_equals_text,
         "filter_equals_int": filter_equals_int,

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunemill.operators.sampling import rows_between
 
+ROW_NUMBERED = ("parquet",)
+"""Formats whose reader gives a row's number in its file."""
 SLICE = re.compile(r"(?P<split>[^\[\]]+)(\[(?P<start>\d*):(?P<stop>\d*)\])?")
 
 
@@ -38,12 +43,18 @@ def scan(
     config: str | None = None,
     split: str = "train",
     schema: T.StructType | None = None,
+    line_csv: bool = False,
 ) -> DataFrame:
     """One data set as a lazy DataFrame.
 
     ``split`` can name a slice by row positions, as in ``train[:10]``.
     Without one the result is still a plain scan: file positions
     (``_metadata``) can be asked of it.
+
+    Splits and configs are partition folders; a data column that happens to be
+    called ``split`` or ``config`` chooses nothing.  CSV values may hold line
+    breaks and doubled quotes; ``line_csv`` says that none has a line break, so
+    that large files can be cut.
     """
     named = SLICE.fullmatch(split)
     if named is None:
@@ -53,19 +64,49 @@ def scan(
     if schema is not None:
         reader = reader.schema(schema)
     if library.file_format == "csv":
-        reader = reader.option("header", True).option("multiLine", False)
+        reader = reader.option("header", True).option("escape", '"').option("multiLine", not line_csv)
     df = reader.load(library.path(dataset_id))
-    if config is not None and "config" not in df.columns:
+    folders = _partition_columns(df)
+    if config is not None and "config" not in folders:
         raise ValueError(f"{dataset_id} has no configs")
     if config is not None:
         df = df.filter(F.col("config") == config)
-    if "split" in df.columns:
+    if "split" in folders:
         df = df.filter(F.col("split") == split)
     if start or stop:
+        if library.file_format not in ROW_NUMBERED:
+            raise ValueError(f"{library.file_format} files do not number their rows; there is no {split} by position")
         df = rows_between(df, int(start or 0), int(stop) if stop else None)
     return df
 
 
+def _partition_columns(df: DataFrame) -> set[str]:
+    """The columns that a plain scan takes from folder names."""
+    relation = df._jdf.queryExecution().analyzed()
+    while relation.children().size() == 1:
+        relation = relation.children().apply(0)
+    location = getattr(relation, "relation", None)
+    fields = location().partitionSchema().fieldNames() if location is not None else []
+    return set(fields)
+
+
+FAILURES = (PySparkException, Py4JError, ValueError)
+"""What a source or a job can fail with, whether Spark names the reason or only the JVM does."""
+
+
+def reason(error: Exception) -> str:
+    return (str(error).splitlines() or [type(error).__name__])[0]
+
+
+def clear_folders(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
+    """Remove the folders ``column=value`` below ``path``, so that none of an earlier run is left."""
+    spark_path = spark._jvm.org.apache.hadoop.fs.Path
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for value in values:
+        folder = spark_path(f"{path}/{column}={escape(value)}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_splits(df: DataFrame, path: str, *extra: str) -> None:
     """Write a training set, one folder per ``extra`` column and split.
 
