@@ -62,16 +62,18 @@ WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> set[str]:
-    """The distinct words, and the beginnings of ``PREFIXES`` letters, marked by a hyphen."""
-    words = set(WORD.findall(text.lower())) if text else set()
-    starts = [{w[:n] + "-" for w in words if len(w) > n} for n in PREFIXES]
-    return words.union(*starts)
+    return set(WORD.findall(text.lower())) if text else set()
+
+
+def features_of(words: set[str]) -> set[str]:
+    """The words, and their beginnings of ``PREFIXES`` letters, marked by a hyphen."""
+    return words.union(*[{w[:n] + "-" for w in words if len(w) > n} for n in PREFIXES])
 
 
 def swapped(words: set[str], groups=GROUPS) -> set[str] | None:
     """The words with each identity term replaced by the next of its group; None without such a term."""
     peers = {term: group[(i + 1) % len(group)] for group in groups for i, term in enumerate(group)}
-    found = words & peers.keys()
+    found = words & peers.keys()  # beginnings are made from the swapped words
     return (words - found) | {peers[w] for w in found} if found else None
 
 
@@ -81,21 +83,22 @@ class Model:
     weights: dict[str, float]
 
     def score(self, text: str | None) -> float:
-        logit = self.bias + sum(self.weights[w] for w in sorted(words_of(text) & self.weights.keys()))
+        known = features_of(words_of(text)) & self.weights.keys()
+        logit = self.bias + sum(self.weights[w] for w in sorted(known))
         return float(1 / (1 + np.exp(-np.clip(logit, -40, 40))))
 
 
 def _word_sets(rows: DataFrame) -> DataFrame:
-    """``label``, and the distinct words of each text, made in one pass over the texts."""
+    """``label``, the distinct words of each text and its features, made in one pass over the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [sorted(words_of(batch.column(1)[i].as_py())) for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(made, pa.list_(pa.string()))], names=["label", "words"]
-            )
+            words = [words_of(batch.column(1)[i].as_py()) for i in range(batch.num_rows)]
+            kind = pa.list_(pa.string())
+            made = [pa.array([sorted(f(w)) for w in words], kind) for f in (set, features_of)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["label", "words", "features"])
 
-    return rows.select("label", "text").mapInArrow(run, "label int, words array<string>")
+    return rows.select("label", "text").mapInArrow(run, "label int, words array<string>, features array<string>")
 
 
 def select_features(rows: DataFrame, min_z: float = MIN_Z, limit: int = MAX_FEATURES) -> list[str]:
@@ -104,7 +107,7 @@ def select_features(rows: DataFrame, min_z: float = MIN_Z, limit: int = MAX_FEAT
     n = {r["label"]: r["count"] for r in totals}
     if not (n.get(0) and n.get(1)):
         return []
-    counts = rows.select("label", F.explode("words").alias("word")).groupBy("word").agg(
+    counts = rows.select("label", F.explode("features").alias("word")).groupBy("word").agg(
         F.sum("label").alias("ones"), F.count("*").alias("all")
     )
     share = F.col("all") / (n[0] + n[1])
@@ -135,14 +138,14 @@ def fit(
         number = lambda words: sorted(vocabulary[w] for w in words & vocabulary.keys())
         for batch in batches:
             sets = [set(words) for words in batch.column(1).to_pylist()]
-            own = [number(words) for words in sets]
-            other = [number(s) if (s := swapped(words, groups)) else None for words in sets]
+            own = [number(features_of(words)) for words in sets]
+            other = [number(features_of(s)) if (s := swapped(words, groups)) else None for words in sets]
             kind = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(own, kind), pa.array(other, kind)], names=["label", "own", "other"]
             )
 
-    table = rows.mapInArrow(run, "label int, own array<int>, other array<int>").toArrow()
+    table = rows.select("label", "words").mapInArrow(run, "label int, own array<int>, other array<int>").toArrow()
     labels = np.array(table.column("label").to_pylist(), float)
     ones, n = labels.sum(), len(labels)
     prior = (ones + 0.5) / (n + 1)
