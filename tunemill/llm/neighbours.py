@@ -244,7 +244,13 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = BEAM, query
 
 
 def cosine(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """In double precision; equal rows get equal values."""
+    """In double precision; equal rows get equal values.
+
+    Powers of two bring the largest components near 1, which changes no digit
+    and keeps squares from overflowing.
+    """
+    rows = np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True, initial=0))[1])
+    query = np.ldexp(query, -np.frexp(np.abs(query).max())[1])
     dot = (rows * query).sum(axis=1)
     return dot / (np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((query * query).sum()))
 
