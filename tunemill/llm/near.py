@@ -65,10 +65,12 @@ class Hasher:
     def word_hashes(self, words: list[bytes]) -> np.ndarray:
         if len(self.known) > MAX_KNOWN:
             self.known = {}
-        known = self.known
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh64_intdigest(word)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        try:
+            return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+        except KeyError:
+            for word in set(words).difference(self.known):
+                self.known[word] = xxhash.xxh64_intdigest(word)
+        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
     def shingles(self, hashes: np.ndarray, n: int) -> np.ndarray:
         """The hash of each run of ``n`` words; fewer words make one run."""
