@@ -43,6 +43,8 @@ SKETCH, SHARED = 32, 12
 LEAST_ESTIMATE = 0.4
 """Estimates at a true 0.8 are below this but for one pair in ten million."""
 BLOCK, BLOCK_VALUES = 1_024, 4_000_000
+FEW, SHORT = 12, 64
+"""Groups of so few short sets, of which there are very many, are compared without arrays."""
 MAX_KNOWN = 400_000
 MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15 * (2 * i + 1) * (2 * i + 1) & 0xFFFFFFFFFFFFFFFF | 1 for i in range(64)], dtype=np.uint64
@@ -168,6 +170,9 @@ def tasks(memberships: DataFrame) -> DataFrame:
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all pairwise intersections of sorted sets."""
     n = len(sets)
+    if n <= FEW and max(map(len, sets), default=0) <= SHORT:
+        plain = [set(s.tolist()) for s in sets]
+        return np.array([[len(a & b) for b in plain] for a in plain], np.float32).reshape(n, n)
     values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(n), [len(s) for s in sets])
     _, column, counts = np.unique(values, return_inverse=True, return_counts=True)
