@@ -5,10 +5,10 @@ from __future__ import annotations
 import argparse
 
 from tunemill.operators.voting import vote_consensus
-from tunemill.plans.catalog import load_catalog
+from tunemill.plans.catalog import declared_schemas, load_catalog
 from tunemill.plans.evaluation import comparison, evaluation_items, recipe_table, with_prompts
 from tunemill.plans.recipe import Recipe
-from tunemill.plans.training import run_recipes
+from tunemill.plans.training import finished_recipes, record_finished, run_recipes
 from tunemill.session import get_session
 from tunemill.sources.datasets import Library
 
@@ -23,9 +23,13 @@ def _arguments() -> argparse.Namespace:
     train.add_argument("recipes", nargs="+")
     train.add_argument("--key", nargs="+", required=True, help="columns that identify a row")
     train.add_argument("--out", required=True)
+    train.add_argument("--catalog", help="folder of descriptors; their columns are the schema to read with")
+    train.add_argument("--complete", action="store_true", help="no input or output is missing")
+    train.add_argument("--again", action="store_true", help="also recipes that an earlier run has finished")
 
     load = commands.add_parser("load", help="open all data sets of a catalog that are small enough")
     load.add_argument("catalog")
+    load.add_argument("--out", help="folder to store each data set in, with bad rows apart")
 
     for command in (train, load):
         command.add_argument("--root", required=True, help="folder of the data sets")
@@ -54,10 +58,14 @@ def main() -> None:
     if args.command in ("prepare", "load"):
         library = Library(args.root, args.format, args.suffix)
     if args.command == "prepare":
-        for name, result in run_recipes(spark, library, recipes, args.key, args.out).items():
+        done = [] if args.again else finished_recipes(spark, args.out)
+        schemas = declared_schemas(args.catalog) if args.catalog else None
+        outcome = run_recipes(spark, library, recipes, args.key, args.out, done, schemas, args.complete)
+        record_finished(spark, args.out, outcome)
+        for name, result in outcome.items():
             print(f"{name}: {result}")
     elif args.command == "load":
-        loaded = load_catalog(spark, args.catalog, library)
+        loaded = load_catalog(spark, args.catalog, library, out=args.out)
         for name, df in loaded.frames.items():
             print(f"{name}: {df.schema.simpleString()}")
         for name, reason in loaded.failed.items():

@@ -30,6 +30,8 @@ BROADCAST_RECIPES = 10_000
 PUSHED_VALUES = 100
 # Literals that are cast together.
 LITERALS = 500
+# Where a job records what it has finished; the underscore hides it from readers of the data.
+MANIFEST = "_finished"
 
 
 def _field(df: DataFrame, name: str) -> Column:
@@ -227,11 +229,14 @@ def _listed(table: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(table) if rows <= BROADCAST_RECIPES else table
 
 
-def fan_out(df: DataFrame, recipes: Sequence[Recipe], key: Sequence[str]) -> DataFrame:
+def fan_out(
+    df: DataFrame, recipes: Sequence[Recipe], key: Sequence[str], complete: bool = False
+) -> DataFrame:
     """The texts of many recipes over one source: ``recipe``, the key and ``text``.
 
     All recipes share one scan, whatever they filter by and do with the rows.
-    The number of recipes changes the plan, never the result.
+    The number of recipes changes the plan, never the result.  ``complete``:
+    no input or output is NULL, so whoever needs the keys alone reads no text.
     """
     if not recipes:
         raise ValueError("no recipes")
@@ -254,15 +259,19 @@ def fan_out(df: DataFrame, recipes: Sequence[Recipe], key: Sequence[str]) -> Dat
         "_input_hint",
         F.col("_binding").isin([i for i, b in enumerate(bindings) if b[OUTPUT] is None]).alias("_plain"),
     )
-    whole = fields.filter(F.col("_input").isNotNull() & (F.col("_plain") | F.col("_found").isNotNull()))
+    whole = fields
+    if not complete:
+        whole = fields.filter(F.col("_input").isNotNull() & (F.col("_plain") | F.col("_found").isNotNull()))
     parts = ("_input", "_output", "_context", "_context_hint", "_input_hint")
     text = templates.training_text(*[F.col(part) for part in parts])
     return whole.select("recipe", *key, text.alias("text"))
 
 
-def training_sets(df: DataFrame, recipes: Sequence[Recipe], key: Sequence[str]) -> DataFrame:
+def training_sets(
+    df: DataFrame, recipes: Sequence[Recipe], key: Sequence[str], complete: bool = False
+) -> DataFrame:
     """:func:`fan_out` with an exact split inside every recipe."""
-    texts = fan_out(df, recipes, key)
+    texts = fan_out(df, recipes, key, complete)
     return split_exact_by(texts, "recipe", len(recipes), key, SPLIT_SEED, TEST_SHARE)
 
 
@@ -288,6 +297,7 @@ def run_recipes(
     out: str,
     done: Iterable[str] = (),
     schemas: Mapping[str, T.StructType] | None = None,
+    complete: bool = False,
 ) -> dict[str, str]:
     """Write the training sets of all recipes that are not done, source by source.
 
@@ -297,7 +307,8 @@ def run_recipes(
     ``<id>/config=<name>`` (``config=default`` without one) below ``out``, with
     a folder for each recipe in it, which a repeated run replaces whole.
     ``schemas`` has the declared schema of data sets by id: no file is then
-    read to guess it.
+    read to guess it.  ``complete``: no input or output is NULL, see
+    :func:`training_texts`.
     """
     finished = set(done)
     pending = sorted((r for r in recipes if r.name not in finished), key=lambda r: (r.dataset_id, r.load_config or ""))
@@ -317,22 +328,42 @@ def run_recipes(
                 good.append(recipe)
             except FAILURES as error:
                 outcome[recipe.name] = reason(error)
-        outcome |= _write_together(source, good, key, folder)
+        outcome |= _write_together(source, good, key, folder, complete)
     return outcome
 
 
-def _write_together(source: DataFrame, recipes: Sequence[Recipe], key: Sequence[str], folder: str) -> dict[str, str]:
+def finished_recipes(spark: SparkSession, out: str) -> list[str]:
+    """The recipes that earlier runs have recorded as done below ``out``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{out.rstrip('/')}/{MANIFEST}")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return []
+    table = spark.read.schema("recipe string").parquet(folder.toString())
+    return [row.recipe for row in table.distinct().collect()]  # as many as there are recipe files
+
+
+def record_finished(spark: SparkSession, out: str, outcome: Mapping[str, str]) -> None:
+    """Add the recipes that went well to the manifest of ``out``."""
+    names = [(name,) for name, result in outcome.items() if result == "ok"]
+    if names:
+        spark.createDataFrame(names, "recipe string").coalesce(1).write.mode("append").parquet(
+            f"{out.rstrip('/')}/{MANIFEST}"
+        )
+
+
+def _write_together(
+    source: DataFrame, recipes: Sequence[Recipe], key: Sequence[str], folder: str, complete: bool = False
+) -> dict[str, str]:
     """Write recipes in one job; if it fails, each by itself."""
     if not recipes:
         return {}
     try:
         clear_folders(source.sparkSession, folder, "recipe", [r.name for r in recipes])
-        write_splits(training_sets(source, recipes, key), folder, "recipe")
+        write_splits(training_sets(source, recipes, key, complete), folder, "recipe")
         return {r.name: "ok" for r in recipes}
     except FAILURES as error:
         if len(recipes) == 1:
             return {recipes[0].name: reason(error)}
     outcome: dict[str, str] = {}
     for recipe in recipes:
-        outcome |= _write_together(source, [recipe], key, folder)
+        outcome |= _write_together(source, [recipe], key, folder, complete)
     return outcome

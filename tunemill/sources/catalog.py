@@ -48,9 +48,18 @@ def fields(descriptor: Mapping[str, Any]) -> list[dict[str, Any]]:
 
 
 def declared_schema(descriptor: Mapping[str, Any]) -> T.StructType:
-    """The schema to read the data set with."""
-    types = {field["id"]: FIELD_TYPES[field["type"]] for field in fields(descriptor)}
-    return T.StructType([T.StructField(name, data_type) for name, data_type in types.items()])
+    """The schema to read the data set with; ``optional`` is kept in a column's metadata.
+
+    Files promise nothing, so every column may be NULL whatever is declared.
+    """
+    declared = {field["id"]: field for field in fields(descriptor)}
+
+    def column(field: Mapping[str, Any]) -> T.StructField:
+        optional = str(field.get("optional", "")).lower() == "true"
+        metadata = {"optional": True} if optional else {}
+        return T.StructField(field["id"], FIELD_TYPES[field["type"]], metadata=metadata)
+
+    return T.StructType([column(field) for field in declared.values()])
 
 
 def catalog(spark: SparkSession, descriptors: Iterable[Mapping[str, Any]]) -> DataFrame:

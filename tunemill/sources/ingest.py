@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tunemill.sources.datasets import Library, scan
+from tunemill.sources.datasets import FAILURES, Library, reason, scan
 
 BAD = "_corrupt_record"
 
@@ -31,17 +30,48 @@ class Loaded:
         return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tagged)
 
 
-def load_all(spark: SparkSession, library: Library, dataset_ids: Iterable[str]) -> Loaded:
-    """Open every source; one that cannot be opened does not stop the others."""
+def load_all(
+    spark: SparkSession,
+    library: Library,
+    dataset_ids: Iterable[str],
+    schemas: Mapping[str, T.StructType] | None = None,
+    out: str | None = None,
+) -> Loaded:
+    """Open every source; one that cannot be opened does not stop the others.
+
+    With ``out`` each source is also read in full and stored by itself in
+    ``<out>/<id>``, so that one that breaks off half-way is told from the others;
+    what is returned then is read from there.  ``schemas`` are declared ones by
+    id: nothing is read to guess them.  JSON lines with a schema keep their bad
+    lines apart, in ``<out>/<id>.bad``, or marked in ``_corrupt_record`` if
+    nothing is stored.
+    """
     result = Loaded()
     for dataset_id in dataset_ids:
+        schema = (schemas or {}).get(dataset_id)
         try:
-            result.frames[dataset_id] = scan(spark, library, dataset_id)
-        except (PySparkException, ValueError) as error:
-            result.failed[dataset_id] = str(error).splitlines()[0]
+            if library.file_format == "json" and schema is not None:
+                df = scan_json_lines(spark, library, dataset_id, schema)
+            else:
+                df = scan(spark, library, dataset_id, schema=schema)
+            if out is not None:
+                df = _store(df, f"{out.rstrip('/')}/{dataset_id}")
+            result.frames[dataset_id] = df
+        except FAILURES as error:
+            result.failed[dataset_id] = reason(error)
     return result
 
 
+def _store(df: DataFrame, path: str) -> DataFrame:
+    """Write a source and read it back; bad rows go to a folder of their own."""
+    good = df
+    if BAD in df.columns:
+        quarantined(df).write.mode("overwrite").parquet(f"{path}.bad")
+        good = good_rows(df)
+    good.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(good.schema).parquet(path)
+
+
 def parse_json(df: DataFrame, raw: str, schema: T.StructType) -> DataFrame:
     """Parse a JSON column into ``parsed``; a row that fails keeps its text in ``_corrupt_record``."""
     with_bad = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
