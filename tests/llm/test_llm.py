@@ -521,6 +521,26 @@ def test_shared_passages_begin_paragraphs_alike():
     assert 1 - (1 - 0.8**rows) ** bands >= passages.RECALL
 
 
+def test_whole_passages_go(spark):
+    rng = random.Random(5)
+    fresh = lambda n: [f"x{rng.randrange(10**7)}" for _ in range(n)]
+    shared, tail = fresh(300), fresh(25)
+    words = {0: fresh(40) + shared[100:160] + fresh(40)}  # has a part only
+    words[1] = fresh(40) + shared + tail + fresh(40)
+    words[2] = fresh(33) + shared + tail[:20] + fresh(45)
+    words[3] = fresh(20) + shared + tail[:12] + fresh(30)
+    words[4] = fresh(70) + shared[100:160] + fresh(20)
+    words[5] = fresh(9) + shared[240:] + tail
+    df = spark.createDataFrame([(k, "\n".join(w), "s") for k, w in words.items()], DOC)
+    cut = {r["doc_id"]: r["text"].split() for r in passages.without(df, passages.removals(df)).collect()}
+    assert cut[0] == words[0]
+    assert cut[1] == words[1][:140] + words[1][200:]
+    assert cut[2] == words[2][:33] + words[2][-45:]
+    assert cut[3] == words[3][:20] + words[3][-30:]
+    assert cut[4] == words[4][:70] + words[4][-20:]
+    assert cut[5] == words[5][:9]
+
+
 def test_passages_odd_rows(odd, none):
     assert passages.removals(odd).count() == passages.removals(none).count() == 0
     kept = passages.without(odd, passages.removals(odd))
