@@ -56,13 +56,13 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """With each secret replaced by its kind in brackets."""
+    """With each secret replaced by its kind in brackets; secrets that overlap go as one."""
     whole = docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
     found = secrets.scan(whole, keep=["_row"])
     row = F.col("_row")
     text = row.getField("text")
-    hidden = F.when(F.size("spans") > 0, redacted(text, F.col("spans"), secrets.KINDS)).otherwise(text)
-    once = found.select("_row", (F.size("spans") > 0).alias("_cut"), F.explode(F.array(hidden)).alias("_hidden"))
+    hidden = F.when(F.size("all") > 0, redacted(text, F.col("all"), secrets.KINDS)).otherwise(text)
+    once = found.select("_row", (F.size("all") > 0).alias("_cut"), F.explode(F.array(hidden)).alias("_hidden"))
     made = {"text": F.col("_hidden")}
     if "n_chars" in docs.columns:
         length = F.length("_hidden").cast(docs.schema["n_chars"].dataType)

@@ -90,6 +90,26 @@ def test_secrets_are_hidden(stages):
     assert stages[3].count() == stages[4].count()
 
 
+def test_whole_secrets_are_hidden(spark):
+    body = "\n".join("Ab0/" * 16 for _ in range(3)) + "\n0123456789abcdef0123=="
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    texts = [
+        f"a {head}\nProc-Type: 4,ENCRYPTED\n\n{body}\n{end} z",
+        f"a {head}\n{body}\nand then prose z",
+        f"a {head}\\n{'Ab0/' * 16}\\n{end} z",
+        f"a {head} and then prose; z",
+        "a Authorization: Bearer XYZ.0123456789abcdef.More-secret z",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert [t for _, t in rows(pipeline.hide_secrets(spark, docs, SF))] == [
+        "a [PRIVATE_KEY] z",
+        "a [PRIVATE_KEY]\nand then prose z",
+        "a [PRIVATE_KEY] z",
+        "a [PRIVATE_KEY] and then prose; z",
+        "a [BEARER] z",
+    ]
+
+
 def test_all_that_is_left_is_packed(stages):
     words = stages[4].agg(F.sum(packing.word_count())).first()[0]
     assert stages[5].agg(F.sum("n_tokens")).first()[0] == words

@@ -55,7 +55,13 @@ BASE = [
     Rule("hex", r"(?<![0-9a-f])[0-9a-f]{16,}+"),
 ]
 MORE = [
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----"),
+    Rule(
+        "private_key",
+        # With all up to the END line; without one, with the base64 lines that follow. Possessive, so it stays linear.
+        r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----"
+        r"(?:(?:[A-Za-z0-9+/=:;,.@_()<>#*|\"'\x20\t\r\n\\]++|-(?!----))*+-----END [A-Z ]{0,24}PRIVATE KEY-----"
+        r"|(?:(?:[\x20\t\r\n]|\\[rn])++[A-Za-z0-9+/]{20,}+={0,2}+)++)?+",
+    ),
     Rule("forge_token", r"gh[opsu]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
@@ -192,12 +198,13 @@ def has_bit(bitmap: Column, slot: Column) -> Column:
 
 
 def scan(docs: DataFrame, base: list[Rule] | None = None, more: list[Rule] | None = None, keep: list[str] = ()) -> DataFrame:
-    """``doc_id``, ``base`` (a list of spans for each base rule) and ``spans`` (with those of ``more``, sorted).
+    """``doc_id``, ``base`` (a list of spans for each base rule), ``spans`` (with those of ``more``, sorted) and ``all``.
 
     The texts are read once for the index and once for the search; they are
     moved only if the candidates' bitmaps exceed ``BROADCAST_BYTES``.  Spans of
-    ``more`` that meet a base span or one before them are left out.  ``keep``
-    names further columns of ``docs`` to carry along.
+    ``more`` that lie within a base span or meet one of ``more`` before them are
+    not among ``spans``; ``all`` has every span, sorted, so that their union can
+    be redacted.  ``keep`` names further columns of ``docs`` to carry along.
     """
     base = BASE if base is None else base
     more = MORE if more is None else more
@@ -240,10 +247,11 @@ def scan(docs: DataFrame, base: list[Rule] | None = None, more: list[Rule] | Non
     searched = rows.select("doc_id", *keep, F.inline(F.array(spans)))
     free = F.filter(
         F.col("_more"),
-        lambda c: ~F.exists(F.flatten("base"), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
+        lambda c: ~F.exists(F.flatten("base"), lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"])),
     )
     spans = F.array_sort(F.concat(F.flatten("base"), apart(F.array_sort(free))))
-    return searched.select("doc_id", *keep, "base", spans.alias("spans"))
+    every = F.array_sort(F.concat(F.flatten("base"), F.col("_more")))
+    return searched.select("doc_id", *keep, "base", spans.alias("spans"), every.alias("all"))
 
 
 KINDS = [rule.kind for rule in [*BASE, *MORE]]
