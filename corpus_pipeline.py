@@ -8,7 +8,7 @@ empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunemill.llm import near, packing, passages, secrets, toxicity
@@ -25,34 +25,55 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(toxicity.score(model) < TOXIC)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``_key`` and ``_row`` of each row: the id, or where an id has several texts, a number of its own for each text.
+
+    The text of the smallest hash keeps the id; the others get 62 bits of a
+    hash, above ids of usual size, so that rows with plain ids come first.
+    """
+    hashed = docs.select(
+        F.col("doc_id").cast("bigint").alias("_id"),
+        F.xxhash64(F.col("text").cast("string")).alias("_hash"),
+        F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+    )
+    by_id = hashed.where(F.col("_id").isNotNull()).groupBy("_id").agg(F.min("_hash").alias("_first"), F.max("_hash").alias("_last"))
+    several = stored(by_id.where(F.col("_first") < F.col("_last")).drop("_last"))
+    n = several.count()
+    if not n:
+        return hashed.select(F.col("_id").alias("_key"), "_row")
+    own = F.xxhash64("_id", "_hash").bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+    joined = hashed.join(F.broadcast(several) if n <= BROADCAST_ROWS else several, "_id", "left")
+    return joined.select(F.when(F.col("_hash") != F.col("_first"), own).otherwise(F.col("_id")).alias("_key"), "_row")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, that with the smallest id; one row of each id."""
-    found = stored(near.near_duplicates(docs).where(F.col("doc_id").isNotNull()).select("doc_id", "kept"))
-    gone = stored(found.where(~F.col("kept")).select("doc_id").distinct())
+    """One row of each near-duplicate class, that with the smallest id; different texts under one id are apart."""
+    rows = keyed(docs)
+    found = near.near_duplicates(rows.select(F.col("_key").alias("doc_id"), F.col("_row.text").alias("text")))
+    found = stored(found.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_key"), "kept"))
+    gone = stored(found.where(~F.col("kept")).select("_key").distinct())
     few = gone.count() <= BROADCAST_ROWS
-    left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
-    twice = stored(found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    left = rows.join(F.broadcast(gone) if few else gone, "_key", "left_anti")
+    twice = stored(found.where("kept").groupBy("_key").count().where("count > 1").select("_key"))
+    columns = [F.col("_row").getField(c).alias(c) for c in docs.columns]
     if twice.isEmpty():
-        return left
-    # Rows that repeat an id: of these alone the texts move.
-    row = F.struct(*[left[c] for c in docs.columns]).alias("_row")
-    again = keep_rows(left, twice, "doc_id").select("doc_id", F.xxhash64("text").alias("_text"), row)
-    first = Window.partitionBy("doc_id").orderBy("_text")
-    one = again.withColumn("_n", F.row_number().over(first)).where("_n = 1")
-    single = left.join(F.broadcast(twice) if twice.count() <= BROADCAST_ROWS else twice, "doc_id", "left_anti")
-    return single.select(*docs.columns).unionByName(
-        one.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
-    )
+        return left.select(*columns)
+    # Rows that repeat id and text: of these alone the texts move, one row a key from each task.
+    one = keep_rows(left, twice, "_key").groupBy("_key").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+    single = left.join(F.broadcast(twice) if twice.count() <= BROADCAST_ROWS else twice, "_key", "left_anti")
+    return single.select(*columns).unionByName(one.select(*columns))
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without passages that an earlier document has; a document of which no word is left goes."""
-    cut = passages.without(docs, passages.removals(docs))
-    made = cut.where(~F.col("_cut") | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    if "n_chars" not in docs.columns:
-        return made.select(*docs.columns)
-    length = F.when(F.col("_cut"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return made.select(*[length.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    rows = keyed(docs).select(F.col("_key").alias("doc_id"), F.col("_row.text").alias("text"), F.col("_row").alias("_whole"))
+    cut = passages.without(rows, passages.removals(rows))
+    left = cut.where(~F.col("_cut") | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    made = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        made["n_chars"] = F.when(F.col("_cut"), length).otherwise(F.col("_whole").getField("n_chars"))
+    return left.select(*[made.get(c, F.col("_whole").getField(c)).alias(c) for c in docs.columns])
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

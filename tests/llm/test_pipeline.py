@@ -66,6 +66,18 @@ def test_one_document_of_each_class_stays(stages):
     assert set(after) <= set(before)
 
 
+def test_different_texts_of_one_id_stay(spark):
+    text = lambda name, n=60: " ".join(f"{name}{i}" for i in range(n))
+    given = [(5, text("a")), (9, text("a") + " end"), (9, text("b")), (9, text("c") + " " + text("b", 55)), (7, text("d")), (7, text("d"))]
+    docs = spark.createDataFrame(given, "doc_id bigint, text string")
+    left = pipeline.drop_near_copies(spark, docs, SF)
+    assert rows(left) == sorted([given[0], given[2], given[3], given[4]], key=str)
+    cut = rows(pipeline.cut_passages(spark, stored(left), SF))
+    assert given[0] in cut and given[4] in cut and len(cut) == 4
+    nines = " ".join(t for k, t in cut if k == 9)
+    assert all(nines.split().count(w) >= 1 for w in (given[2][1] + " " + given[3][1]).split())
+
+
 def test_repeated_passages_go(stages):
     before, after = dict(rows(stages[2])), dict(rows(stages[3]))
     windows = lambda t: {tuple(w) for w in zip(*[(t or "").split()[i:] for i in range(50)])}
