@@ -521,6 +521,10 @@ def test_shared_passages_begin_paragraphs_alike():
     assert 1 - (1 - 0.8**rows) ** bands >= passages.RECALL
 
 
+def test_paragraphs_have_five_bands():
+    assert passages.RECALL >= 0.95 and passages.BANDS == 5 and len(passages.SALTS) == 15
+
+
 def test_whole_passages_go(spark):
     rng = random.Random(5)
     fresh = lambda n: [f"x{rng.randrange(10**7)}" for _ in range(n)]
