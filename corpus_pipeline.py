@@ -15,8 +15,8 @@ from tunemill.llm import near, packing, passages, secrets, toxicity
 from tunemill.llm.common import BROADCAST_ROWS, keep_rows, stored, table
 from tunemill.llm.spans import redacted
 
-TOXIC = 0.5
-"""Documents that score this or more go."""
+TOXIC = toxicity.THRESHOLD
+"""Documents that score this or more go, as in op1."""
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -56,6 +56,10 @@ def test_toxic_documents_go(spark, stages):
     assert 0 < stages[1].count() < stages[0].count()
 
 
+def test_the_pipeline_rejects_what_op1_rejects():
+    assert pipeline.TOXIC == toxicity.THRESHOLD == 0.3
+
+
 def test_one_document_of_each_class_stays(stages):
     before, after = rows(stages[1]), rows(stages[2])
     texts = {k: t for k, t in before if k is not None and k != -4}
