@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunemill.llm import bpe, fingerprint, near, neighbours, packing, passages, pii, secrets, toxicity, urls
+from tunemill.llm import (
+    bpe,
+    fingerprint,
+    language,
+    near,
+    neighbours,
+    packing,
+    passages,
+    pii,
+    prefixes,
+    secrets,
+    spelling,
+    toxicity,
+    urls,
+)
 from tunemill.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -62,6 +76,18 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie(table(spark, sf_dir, "conversations"))
+
+
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": toxicity_scores,
@@ -74,8 +100,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe": bpe_round_trip,
         "op9_passages": repeated_passages,
         "op10_secrets": secret_scan,
+        "op11_spelling": spelling_variants,
+        "op12_conversation_trie": conversation_trie,
+        "op13_language": languages,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": urls.ORACLE_SQL}
+    return {
+        "op2_url_filter": urls.ORACLE_SQL,
+        "op11_spelling": spelling.ORACLE_SQL,
+        "op12_conversation_trie": prefixes.ORACLE_SQL,
+    }
