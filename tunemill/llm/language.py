@@ -13,7 +13,8 @@ whole text count.  Text begins after ``ORDER`` zero bytes.
 The cost of a byte depends on itself and the ``ORDER`` bytes before it.  So the
 trees are compiled into one table: for each string of up to ``ORDER + 1`` bytes
 that some language has seen, its cost in every language, escapes included.
-Scoring looks up the longest such string at each byte.
+Scoring looks up the longest such string at each byte, and adds the escapes of
+longer contexts that are known, but not with this byte.
 
 Learning covers a sample of each language's rows, chosen by a hash of the text so that some
 ``MAX_BYTES`` bytes of it are expected (all, if it has fewer), which bounds the
@@ -89,7 +90,7 @@ def string_counts(rows: DataFrame, order: int = ORDER) -> DataFrame:
     return counted.groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
-def _sorted_table(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _slots(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A table of slots for the codes: one code's number a slot, and codes that found theirs taken (few, sorted)."""
     bits = max(8, int(np.ceil(np.log2(len(codes) + 1))) + 2)
     slot = (mixed(codes) >> np.uint64(64 - bits)).astype(np.int64)
@@ -101,11 +102,13 @@ def _sorted_table(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Model:
-    """Costs in bits of the strings ``codes`` (sorted) in each of ``langs`` (sorted)."""
+    """Costs in bits of the strings ``codes`` and of escapes from ``contexts`` (both sorted) in each of ``langs`` (sorted)."""
 
     langs: list[str]
     codes: np.ndarray
     costs: np.ndarray
+    contexts: np.ndarray
+    escapes: np.ndarray
     slots: np.ndarray
     late: np.ndarray
     order: int = ORDER
@@ -124,16 +127,28 @@ class Model:
             hit[miss[good]] = True
         return np.where(hit, at, -1)
 
-    def byte_rows(self, data: np.ndarray) -> np.ndarray:
-        """The number of the longest known string that ends at each byte from the ``order``-th on."""
-        every = list(codes_of(data, self.order))
-        at = self.find(every[-1][1])
-        for _, codes in every[-2::-1]:
-            miss = np.flatnonzero(at < 0)
-            if not len(miss):
+    def byte_costs(self, data: np.ndarray) -> np.ndarray:
+        """The cost of each byte from the ``order``-th on in each language."""
+        every = [codes for _, codes in codes_of(data, self.order)]
+        at = self.find(every[-1])
+        left, escaped = np.flatnonzero(at < 0), []
+        for size in range(self.order, -1, -1):
+            if not len(left):
                 break
-            at[miss] = self.find(codes[miss])
-        return at
+            # Without its last byte, the string that was not found is the context that is left.
+            low = every[size][left] & np.uint64((1 << 56) - 1)
+            context = low >> np.uint64(8) | np.uint64(size) << np.uint64(56)
+            where = np.minimum(np.searchsorted(self.contexts, context), len(self.contexts) - 1)
+            known = self.contexts[where] == context
+            escaped.append((left[known], where[known]))
+            if size:
+                at[left] = self.find(every[size - 1][left])
+                left = left[at[left] < 0]
+        costs = self.costs[at]
+        costs[left] = 8.0
+        for rows, where in escaped:
+            costs[rows] += self.escapes[where]
+        return costs
 
     def bits(self, texts: list[str]) -> np.ndarray:
         """Code lengths of the texts (rows) in the languages (columns)."""
@@ -143,8 +158,7 @@ class Model:
 
         def flush():
             data = np.concatenate([d for _, d in held])
-            at = self.byte_rows(data)
-            costs = np.where(at[:, None] >= 0, self.costs[at], 8.0 + self.costs[-1])
+            costs = self.byte_costs(data)
             sums = np.vstack([np.zeros((1, len(self.langs))), np.cumsum(costs, axis=0, dtype=np.float64)])
             begin = 0
             for i, d in held:
@@ -173,8 +187,8 @@ def compiled(langs: list[str], lang: np.ndarray, code: np.ndarray, n: np.ndarray
     low = codes & np.uint64((1 << 56) - 1)
     # A string without its last byte is its context, without its first one the string in the shorter context.
     context = (low >> np.uint64(8)) | (np.maximum(length, 1) - 1).astype(np.uint64) << np.uint64(56)
-    costs = np.zeros((len(codes) + 1, len(langs)), np.float32)
-    total = np.zeros(len(langs))
+    costs = np.zeros((len(codes), len(langs)), np.float32)
+    contexts, escapes = [], []
     for size in range(1, order + 2):
         here = np.flatnonzero(length == size)
         if not len(here):
@@ -187,17 +201,18 @@ def compiled(langs: list[str], lang: np.ndarray, code: np.ndarray, n: np.ndarray
         np.add.at(kinds, group, seen > 0)
         with np.errstate(divide="ignore", invalid="ignore"):
             own = -np.log2(seen / (total + kinds)[group])
-            escape = np.where(total > 0, -np.log2(kinds / (total + kinds)), 0.0)[group]
+            escape = np.where(total > 0, -np.log2(kinds / (total + kinds)), 0.0)
+        contexts.append(names)
+        escapes.append(escape.astype(np.float32))
         if size == 1:
             shorter = np.full((len(here), len(langs)), 8.0)
-            costs[-1] = escape[0]  # a byte that no language has seen
         else:
             keep = np.uint64((1 << (8 * (size - 1))) - 1)
             tail = (low[here] & keep) | np.uint64(size - 1) << np.uint64(56)
             shorter = costs[np.searchsorted(codes, tail)]
-        costs[here] = np.where(seen > 0, own, escape + shorter)
-    slots, late = _sorted_table(codes)
-    return Model(langs, codes, costs, slots, late, order)
+        costs[here] = np.where(seen > 0, own, escape[group] + shorter)
+    slots, late = _slots(codes)
+    return Model(langs, codes, costs, np.concatenate(contexts), np.concatenate(escapes), slots, late, order)
 
 
 def fit(rows: DataFrame, max_bytes: int = MAX_BYTES, max_table: int = MAX_TABLE, order: int = ORDER) -> Model | None:
