@@ -38,5 +38,6 @@ def _quoted(stop: str) -> str:
 
 
 def cut_at_stop(text: Column, stops: Iterable[str]) -> Column:
-    """The text before the first of the stop strings."""
-    return F.regexp_replace(text, f"(?s)(?:{'|'.join(map(_quoted, stops))}).*", "")
+    """The text before the first of the stop strings; empty ones, or none, stop nothing."""
+    known = [stop for stop in stops if stop]
+    return F.regexp_replace(text, f"(?s)(?:{'|'.join(map(_quoted, known))}).*", "") if known else text

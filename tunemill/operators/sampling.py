@@ -8,50 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tunemill.functions.values import hash_percent, shuffle_hash, whole_div
+from tunemill.functions.values import hash_percent, shuffle_hash
+from tunemill.operators.positions import with_row_index
 
-# Up to this many files, the table of file offsets (a path and a number each,
-# some 50 MB in all) is sent to every task; beyond, it is joined in blocks of rows.
-BROADCAST_FILES = 200_000
-BLOCK_ROWS = 1_000_000
 # Up to this many groups, one cut per group is sent to every task.
 BROADCAST_GROUPS = 100_000
-# Hex digits of the hash that make a bucket: 65,536 buckets.
+# Hex digits of the hash that make a bucket: 65,536 buckets.  Those that follow order its rows.
 PREFIX = 4
-
-
-def with_row_index(
-    df: DataFrame, name: str = "idx", broadcast_files: int = BROADCAST_FILES, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """Number the rows of a file scan from 0, files in path order.
-
-    Readers know the position of a row in its file; what precedes a file is
-    the sum of the row counts of the files before it, for which the scan reads
-    no column.  The data is not shuffled.  ``df`` must be a plain scan.
-    """
-    located = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.row_index").alias("_at"),
-    )
-    files = df.select(
-        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_at")
-    )
-    rows = files.groupBy("_path").agg((F.max("_at") + 1).alias("_rows"))
-    # One row per file; the driver holds the same list to plan the scan.
-    before = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    if len(df.inputFiles()) <= broadcast_files:
-        joined = located.join(F.broadcast(starts.select("_path", "_start")), "_path")
-    else:
-        blocks = starts.select(
-            "_path",
-            "_start",
-            F.explode(F.expr(f"sequence(0L, (_rows - 1) div {block_rows})")).alias("_block"),
-        )
-        blocked = located.withColumn("_block", whole_div("_at", block_rows))
-        joined = blocked.join(blocks, ["_path", "_block"])
-    return joined.select(*df.columns, (F.col("_start") + F.col("_at")).alias(name))
+ORDERED = 15
 
 
 def filter_indexed(df: DataFrame, predicate: Callable[[Column], Column]) -> DataFrame:
@@ -89,18 +53,23 @@ def hash_cuts(
     rows: int | None = None,
     by: Sequence[str] = (),
     groups: int = 1,
+    digits: int = PREFIX,
 ) -> DataFrame:
-    """The largest hash that still belongs to the sample, one row per ``by``.
-
-    ``keys`` has the columns ``by`` and ``_hash``.  Counts per hash prefix
-    find the one bucket in which the cut lies, and only its rows, one in
-    65,536, are ranked.  ``groups`` is the number of values of ``by``.
+    """``_cut``, the largest beginning of a hash that still belongs to the sample, one row per ``by``.
+
+    ``keys`` has the columns ``by`` and ``_hash``, of which the first
+    ``digits + ORDERED`` hex digits count (76 bits).  One pass over the keys
+    lists the hashes of each bucket; from this one exchange come both the
+    counts that find the bucket of the cut and the hashes that are ranked in
+    it.  ``digits`` more than 4 makes buckets of fewer rows for very large data.
+    ``groups`` is the number of values of ``by``.
     """
-    prefixed = keys.withColumn("_prefix", F.substring("_hash", 1, PREFIX))
-    counts = prefixed.groupBy(*by, "_prefix").agg(F.count("*").alias("_n"))
+    order = F.conv(F.substring("_hash", digits + 1, ORDERED), 16, 10).cast("bigint")
+    prefix = F.substring("_hash", 1, digits).alias("_prefix")
+    lists = keys.groupBy(*by, prefix).agg(F.collect_list(order).alias("_hashes"))
     whole = Window.partitionBy(*by)
     upto = whole.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
-    counted = counts.select(
+    counted = lists.select(*by, "_prefix", F.size("_hashes").alias("_n")).select(
         *by,
         "_prefix",
         "_n",
@@ -108,24 +77,41 @@ def hash_cuts(
         _needed(F.sum("_n").over(whole), share, rows).alias("_need"),
     )
     edge = counted.filter((F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_n") < F.col("_need")))
-    rest = edge.select(*by, "_prefix", (F.col("_need") - F.col("_upto") + F.col("_n")).alias("_rest"))
-    at_edge = prefixed.join(F.broadcast(rest) if groups <= BROADCAST_GROUPS else rest, [*by, "_prefix"])
-    ranked = at_edge.withColumn("_rank", F.row_number().over(whole.orderBy("_hash")))
-    return ranked.filter(F.col("_rank") == F.col("_rest")).select(*by, F.col("_hash").alias("_cut"))
+    rest = edge.select(
+        *[F.col(c).alias(f"_edge_{c}") for c in by],
+        F.col("_prefix").alias("_edge"),
+        (F.col("_need") - F.col("_upto") + F.col("_n")).cast("int").alias("_rest"),
+    )
+    # NULL-safe, so that no condition moves below the exchange on one side alone.
+    same = [F.col("_prefix") == F.col("_edge"), *[F.col(c).eqNullSafe(F.col(f"_edge_{c}")) for c in by]]
+    at_edge = lists.join(F.broadcast(rest) if groups <= BROADCAST_GROUPS else rest, same)
+    last = F.conv(F.element_at(F.array_sort("_hashes"), F.col("_rest")).cast("string"), 10, 16)
+    cut = F.concat("_prefix", F.lpad(F.lower(last), ORDERED, "0")).alias("_cut")
+    return at_edge.select(*by, cut)
+
+
+def _before_cut(digest: Column, cut: Column, digits: int = PREFIX) -> Column:
+    return F.substring(digest, 1, digits + ORDERED) <= cut
 
 
 def in_sample(
-    df: DataFrame, key: Sequence[str], seed: int, share: float | None = None, rows: int | None = None
+    df: DataFrame,
+    key: Sequence[str],
+    seed: int,
+    share: float | None = None,
+    rows: int | None = None,
+    digits: int = PREFIX,
 ) -> Column:
     """True for exactly the share (rounded up) or number of rows asked for.
 
     ``key`` must be unique: rows with equal keys share a hash and are never
     separated.  The cut is a scalar subquery over the key columns, so the
-    data itself is neither joined nor shuffled.
+    data itself is neither joined nor shuffled; it is read once for the cut
+    and once for the result.  ``digits``: see :func:`hash_cuts`.
     """
     digest = shuffle_hash(seed, *[F.col(k) for k in key])
-    cut = hash_cuts(df.select(digest.alias("_hash")), share, rows).scalar()
-    return F.coalesce(digest <= cut, F.lit(False))
+    cut = hash_cuts(df.select(digest.alias("_hash")), share, rows, digits=digits).scalar()
+    return F.coalesce(_before_cut(digest, cut, digits), F.lit(False))
 
 
 def split_exact(
@@ -160,7 +146,7 @@ def split_exact_by(
         salted = cuts.select("*", F.explode(F.sequence(F.lit(0), F.lit(255))).alias("_salt"))
         salt = F.conv(F.substring("_hash", 31, 2), 16, 10).cast("int")
         joined = hashed.withColumn("_salt", salt).join(salted, [by, "_salt"], "left").drop("_salt")
-    side = F.when(F.col("_hash") <= F.col("_cut"), "test").otherwise("train")
+    side = F.when(_before_cut(F.col("_hash"), F.col("_cut")), "test").otherwise("train")
     return joined.select(*df.columns, side.alias(column))
 
 

@@ -272,6 +272,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, lang, text
             FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents)
             WHERE idx % 3 = 0""",
+        "systematic_sample_json": """
+            SELECT doc_id, lang, text
+            FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents)
+            WHERE idx % 3 = 0""",
+        "slice_range": """
+            SELECT doc_id, lang, text
+            FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents)
+            WHERE idx >= 150 AND idx < 650""",
         "size_threshold": f"""
             SELECT source, CAST(sum(n_chars) AS BIGINT) AS total FROM documents
             GROUP BY source HAVING sum(n_chars) <= {SIZE_LIMIT}""",

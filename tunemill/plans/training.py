@@ -20,7 +20,7 @@ from tunemill.functions.values import as_text, label_text, literal_text
 from tunemill.operators.filters import filter_equals, literal, require_columns
 from tunemill.operators.sampling import every_kth, split_exact, split_exact_by
 from tunemill.plans.recipe import SPLIT_SEED, TEST_SHARE, Recipe
-from tunemill.sources.datasets import FAILURES, Library, clear_folders, reason, scan, write_splits
+from tunemill.sources.datasets import FAILURES, Library, reason, scan, write_parts, write_splits
 
 Template = Callable[[Mapping[str, Column]], Column]
 
@@ -305,7 +305,8 @@ def run_recipes(
     cannot serve is left out and the others of the source go on; if the job
     itself fails, each of them is tried alone.  Each source has the folder
     ``<id>/config=<name>`` (``config=default`` without one) below ``out``, with
-    a folder for each recipe in it, which a repeated run replaces whole.
+    a folder for each recipe in it, which a repeated run replaces whole once
+    its job has ended well; until then the last one stays.
     ``schemas`` has the declared schema of data sets by id: no file is then
     read to guess it.  ``complete``: no input or output is NULL, see
     :func:`training_texts`.
@@ -357,8 +358,7 @@ def _write_together(
     if not recipes:
         return {}
     try:
-        clear_folders(source.sparkSession, folder, "recipe", [r.name for r in recipes])
-        write_splits(training_sets(source, recipes, key, complete), folder, "recipe")
+        write_parts(training_sets(source, recipes, key, complete), folder, "recipe", [r.name for r in recipes])
         return {r.name: "ok" for r in recipes}
     except FAILURES as error:
         if len(recipes) == 1:

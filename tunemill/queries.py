@@ -6,6 +6,7 @@ DataFrame over whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,7 @@ from tunemill.operators.turns import chat_text, question_answer_pairs, with_neig
 from tunemill.operators.voting import vote_consensus, vote_counts, vote_ranking
 from tunemill.plans.recipe import Recipe
 from tunemill.plans.training import fan_out, not_done, training_set
+from tunemill.session import work_folder
 from tunemill.sources.catalog import groups_within
 from tunemill.sources.datasets import Library, scan
 from tunemill.sources.ingest import BAD, parse_json
@@ -189,6 +191,21 @@ def systematic_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every_kth(_documents(spark, sf_dir), 3).select("doc_id", "lang", "text")
 
 
+def slice_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions 150 to 649 of the scan; an index of the files is kept in the work folder."""
+    library = Library(sf_dir, suffix=".parquet", index=f"{work_folder(spark)}/positions-{uuid.uuid4().hex}")
+    return scan(spark, library, "documents", split="train[150:650]").select("doc_id", "lang", "text")
+
+
+def systematic_sample_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third document of a copy in JSON lines, whose reader does not number its rows."""
+    folder = f"{work_folder(spark)}/lines-{uuid.uuid4().hex}"
+    docs = _documents(spark, sf_dir).select("doc_id", "lang", "text")
+    # One task writes a range of ids to one file, in the order of the ranges.
+    docs.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").write.json(folder)
+    return every_kth(spark.read.schema(docs.schema).json(folder), 3)
+
+
 def size_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups_within(_documents(spark, sf_dir), "source", "n_chars", SIZE_LIMIT)
 
@@ -531,6 +548,8 @@ def queries() -> dict[str, Query]:
         "filter_equals": filter_equals_text,
         "filter_equals_int": filter_equals_int,
         "systematic_sample": systematic_sample,
+        "systematic_sample_json": systematic_sample_json,
+        "slice_range": slice_range,
         "size_threshold": size_threshold,
         "label_map": label_map,
         "line_normalize": line_normalize,

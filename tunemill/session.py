@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -23,3 +25,13 @@ def get_session(app: str = "tunemill", master: str | None = None, **settings: st
     for name, value in (fixed | {k.replace("__", "."): v for k, v in settings.items()}).items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The shared folder for tables between jobs that the cluster names; a temporary one only where nothing is shared."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="tunemill-")

@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tunemill.operators.positions import file_index, files_of_slice, listed_files
 from tunemill.operators.sampling import rows_between
+from tunemill.sources.publish import Folders, publish, publish_partitions
 
-ROW_NUMBERED = ("parquet",)
-"""Formats whose reader gives a row's number in its file."""
 SLICE = re.compile(r"(?P<split>[^\[\]]+)(\[(?P<start>\d*):(?P<stop>\d*)\])?")
 
 
@@ -25,12 +25,14 @@ class Library:
 
     A data set with configs and splits has them as partition folders
     (``config=.../split=...``), so choosing one never opens the files of
-    another.
+    another.  ``index`` is a folder for tables of how many rows each file has;
+    with them a slice opens only the files that its rows are in.
     """
 
     root: str
     file_format: str = "parquet"
     suffix: str = ""
+    index: str | None = None
 
     def path(self, dataset_id: str) -> str:
         return f"{self.root.rstrip('/')}/{dataset_id}{self.suffix}"
@@ -47,7 +49,8 @@ def scan(
 ) -> DataFrame:
     """One data set as a lazy DataFrame.
 
-    ``split`` can name a slice by row positions, as in ``train[:10]``.
+    ``split`` can name a slice by row positions, as in ``train[:10]``, in any
+    format (with :class:`Library`'s ``index``, from the files it needs alone).
     Without one the result is still a plain scan: file positions
     (``_metadata``) can be asked of it.
 
@@ -65,32 +68,49 @@ def scan(
         reader = reader.schema(schema)
     if library.file_format == "csv":
         reader = reader.option("header", True).option("escape", '"').option("multiLine", not line_csv)
-    df = reader.load(library.path(dataset_id))
-    folders = _partition_columns(df)
+    path = library.path(dataset_id)
+    folders = partition_columns(spark, path)
     if config is not None and "config" not in folders:
         raise ValueError(f"{dataset_id} has no configs")
-    if config is not None:
-        df = df.filter(F.col("config") == config)
-    if "split" in folders:
-        df = df.filter(F.col("split") == split)
-    if start or stop:
-        if library.file_format not in ROW_NUMBERED:
-            raise ValueError(f"{library.file_format} files do not number their rows; there is no {split} by position")
-        df = rows_between(df, int(start or 0), int(stop) if stop else None)
-    return df
-
-
-def _partition_columns(df: DataFrame) -> set[str]:
-    """The columns that a plain scan takes from folder names."""
-    relation = df._jdf.queryExecution().analyzed()
-    while relation.children().size() == 1:
-        relation = relation.children().apply(0)
-    location = getattr(relation, "relation", None)
-    fields = location().partitionSchema().fieldNames() if location is not None else []
-    return set(fields)
-
-
-FAILURES = (PySparkException, Py4JError, ValueError)
+
+    def chosen(df: DataFrame) -> DataFrame:
+        if config is not None:
+            df = df.filter(F.col("config") == config)
+        return df.filter(F.col("split") == split) if "split" in folders else df
+
+    if not (start or stop):
+        return chosen(reader.load(path))
+    first, last = int(start or 0), int(stop) if stop else None
+    if library.index is None:
+        return rows_between(chosen(reader.load(path)), first, last)
+
+    def opened(paths: Sequence[str] | None) -> DataFrame:
+        # The folder of the whole set says which parts of a path are columns.
+        named = reader.option("basePath", path) if folders else reader
+        return named.load(list(paths)) if paths is not None else reader.load(path)
+
+    index = file_index(chosen(listed_files(spark, path)), f"{library.index.rstrip('/')}/{dataset_id}", opened)
+    found = files_of_slice(index, first, last)
+    if found is None:
+        return rows_between(chosen(reader.load(path)), first, last)
+    paths, before = found
+    if not paths:
+        return reader.load(path).filter(F.lit(False))
+    return rows_between(chosen(opened(paths)), max(0, first - before), None if last is None else max(0, last - before))
+
+
+def partition_columns(spark: SparkSession, path: str) -> set[str]:
+    """The columns that a scan takes from folder names: ``name=value``, level below level."""
+    folders, names = Folders(spark), set()
+    while True:
+        below = [name for name in folders.names(path) if "=" in name and name[0] not in "._"]
+        if not below:
+            return names
+        names.add(below[0].partition("=")[0])
+        path = f"{path}/{below[0]}"
+
+
+FAILURES = (PySparkException, Py4JError, ValueError, OSError)
 """What a source or a job can fail with, whether Spark names the reason or only the JVM does."""
 
 
@@ -98,21 +118,13 @@ def reason(error: Exception) -> str:
     return (str(error).splitlines() or [type(error).__name__])[0]
 
 
-def clear_folders(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
-    """Remove the folders ``column=value`` below ``path``, so that none of an earlier run is left."""
-    spark_path = spark._jvm.org.apache.hadoop.fs.Path
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for value in values:
-        folder = spark_path(f"{path}/{column}={escape(value)}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
+def write_splits(df: DataFrame, path: str) -> None:
+    """Write a training set, a folder for each split, in place of what is there; until it is whole, that stays."""
+    publish(df.sparkSession, path, lambda folder: df.write.partitionBy("split").parquet(folder))
 
-def write_splits(df: DataFrame, path: str, *extra: str) -> None:
-    """Write a training set, one folder per ``extra`` column and split.
 
-    With ``extra`` columns only the folders that ``df`` has rows for are
-    replaced, otherwise all of ``path``.
-    """
-    replaced = "dynamic" if extra else "static"
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", replaced)
-    writer.partitionBy(*extra, "split").parquet(path)
+def write_parts(df: DataFrame, path: str, column: str, values: Sequence[str]) -> None:
+    """As :func:`write_splits` for the parts ``values`` of ``column``, each with a folder of its own below ``path``."""
+    publish_partitions(
+        df.sparkSession, path, column, values, lambda folder: df.write.partitionBy(column, "split").parquet(folder)
+    )

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import threading
+import uuid
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunemill.sources.datasets import FAILURES, Library, reason, scan
+from tunemill.sources.publish import Folders, publish, replace, restore, staging
 
 BAD = "_corrupt_record"
+WORKERS = 8
+"""Sources that are read at a time."""
 
 
 @dataclass
@@ -36,6 +43,8 @@ def load_all(
     dataset_ids: Iterable[str],
     schemas: Mapping[str, T.StructType] | None = None,
     out: str | None = None,
+    workers: int = WORKERS,
+    seconds: float | None = None,
 ) -> Loaded:
     """Open every source; one that cannot be opened does not stop the others.
 
@@ -45,31 +54,81 @@ def load_all(
     id: nothing is read to guess them.  JSON lines with a schema keep their bad
     lines apart, in ``<out>/<id>.bad``, or marked in ``_corrupt_record`` if
     nothing is stored.
+
+    ``workers`` sources are read side by side, each in a scheduler pool of its
+    own.  One that fails is tried once more; one that takes more than
+    ``seconds`` is ended and has failed.  Results are in the order of the ids.
     """
-    result = Loaded()
-    for dataset_id in dataset_ids:
+    names = list(dict.fromkeys(dataset_ids))
+
+    def load(dataset_id: str) -> DataFrame:
         schema = (schemas or {}).get(dataset_id)
-        try:
-            if library.file_format == "json" and schema is not None:
-                df = scan_json_lines(spark, library, dataset_id, schema)
+        if library.file_format == "json" and schema is not None:
+            df = scan_json_lines(spark, library, dataset_id, schema)
+        else:
+            df = scan(spark, library, dataset_id, schema=schema)
+        return _store(df, f"{out.rstrip('/')}/{dataset_id}") if out is not None else df
+
+    attempt = inheritable_thread_target(spark)(lambda name: _attempted(spark, lambda: load(name), f"load-{name}", seconds))
+    result = Loaded()
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
+        for name, made in zip(names, pool.map(attempt, names)):
+            if isinstance(made, DataFrame):
+                result.frames[name] = made
             else:
-                df = scan(spark, library, dataset_id, schema=schema)
-            if out is not None:
-                df = _store(df, f"{out.rstrip('/')}/{dataset_id}")
-            result.frames[dataset_id] = df
-        except FAILURES as error:
-            result.failed[dataset_id] = reason(error)
+                result.failed[name] = made
     return result
 
 
+def _attempted(spark: SparkSession, work: Callable[[], DataFrame], pool: str, seconds: float | None, tries: int = 2) -> DataFrame | str:
+    """What ``work`` gives, or the reason why it failed every time; its jobs end when the time is over."""
+    context, tag = spark.sparkContext, f"load-{uuid.uuid4().hex}"
+    context.setLocalProperty("spark.scheduler.pool", pool)
+    context.addJobTag(tag)
+    late = threading.Event()
+
+    def end() -> None:
+        late.set()
+        context.cancelJobsWithTag(tag)
+
+    timer = threading.Timer(seconds, end) if seconds is not None else None
+    if timer is not None:
+        timer.start()
+    try:
+        for left in reversed(range(tries)):
+            try:
+                return work()
+            except FAILURES as error:
+                if late.is_set():
+                    return f"took more than {seconds:g} seconds"
+                if not left:
+                    return reason(error)
+        raise ValueError("no tries")
+    finally:
+        if timer is not None:
+            timer.cancel()
+        context.removeJobTag(tag)
+        context.setLocalProperty("spark.scheduler.pool", None)
+
+
 def _store(df: DataFrame, path: str) -> DataFrame:
-    """Write a source and read it back; bad rows go to a folder of their own."""
-    good = df
-    if BAD in df.columns:
-        quarantined(df).write.mode("overwrite").parquet(f"{path}.bad")
-        good = good_rows(df)
-    good.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(good.schema).parquet(path)
+    """Write a source and read it back; bad rows go to a folder of their own, from the same pass."""
+    spark = df.sparkSession
+    if BAD not in df.columns:
+        publish(spark, path, lambda folder: df.write.parquet(folder))
+        return spark.read.schema(df.schema).parquet(path)
+    good = good_rows(df)
+    targets = {"false": path, "true": f"{path}.bad"}
+    for target in targets.values():
+        restore(spark, target)
+    with staging(spark, path.rpartition("/")[0]) as folder:
+        df.withColumn("_bad", F.col(BAD).isNotNull()).write.partitionBy("_bad").parquet(folder)
+        for bad, target in targets.items():
+            part = f"{folder}/_bad={bad}"
+            if not Folders(spark).exists(part):
+                df.limit(0).write.parquet(part)
+            replace(spark, part, target)
+    return spark.read.schema(good.schema).parquet(path)
 
 
 def parse_json(df: DataFrame, raw: str, schema: T.StructType) -> DataFrame:
