@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunemill.llm.common import sha256_hex, stored
-from tunemill.llm.spans import apart, find, neutral, of_kind, written
+from tunemill.llm.spans import apart, free, find, neutral, of_kind, written
 
 KINDS = ["email", "ip", "card", "phone"]
 # Possessive loops and boundaries keep the search linear and find the same matches: \G lets a
@@ -39,7 +39,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 AT = r"(?:\x20?[\[({]\x20?(?:at|AT)\x20?[\])}]\x20?|\x20(?:at|AT)\x20|\x20?@\x20?)"
 DOT = r"(?:\x20?[\[({]\x20?(?:dot|DOT|\.)\x20?[\])}]\x20?|\x20(?:dot|DOT)\x20|\.)"
 GENERATORS = [
-    rf"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++{AT}[A-Za-z0-9-]++(?:{DOT}[A-Za-z0-9-]++)+",
+    rf"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++{AT}[A-Za-z0-9-]++(?:{DOT}[A-Za-z0-9-]++)++",
     r"(?<![0-9])[0-9]{1,3}(?:\x20?[\[({]?\.[\])}]?\x20?[0-9]{1,3}){3}(?![0-9])",
     r"(?<![0-9])[0-9](?:[\x20._/-]{0,2}[0-9]){12,18}(?![0-9])",
     r"(?<![0-9])\(?[0-9]{2,4}\)?[\x20./-]{0,2}[0-9]{3}[\x20./-][0-9]{3,4}(?![0-9])",
@@ -264,11 +264,11 @@ def detect(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     base = F.array(*[of_kind(found, k) for k, found in enumerate(base_spans(text))])
     found = stored(rows.select("doc_id", base.alias("base"), candidates(text).alias("candidates")))
     model = fit(found, precision)
-    free = lambda c: ~F.exists(F.flatten("base"), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    accepted = F.filter(F.filter("candidates", model.accepts), free)
-    as_spans = F.array_sort(
-        F.transform(accepted, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
+    accepted = F.transform(
+        F.filter("candidates", model.accepts),
+        lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")),
     )
+    as_spans = F.array_sort(free(accepted, F.flatten("base")))
     return found.select(
         "doc_id", "base", F.array_sort(F.concat(F.flatten("base"), apart(as_spans))).alias("spans")
     )

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunemill.llm.common import sha256_hex, stored, text_or_empty
-from tunemill.llm.spans import INNER, apart, find, neutral, of_kind, written
+from tunemill.llm.spans import INNER, apart, free, find, neutral, of_kind, written
 
 MAX_STRINGS = 32
 """Strings that an exact set of the query's derivation may hold before it is turned into trigrams."""
@@ -64,7 +64,12 @@ MORE = [
     ),
     Rule("forge_token", r"gh[opsu]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # A run without the two further parts is a match too, which is dropped: so each run is read once.
+    Rule(
+        "web_token",
+        r"eyJ[A-Za-z0-9_-]{8,}+(?:\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)?+",
+        keep=lambda body: F.contains(body, F.lit(".")),
+    ),
     Rule("cloud_key", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("payment_key", r"(?:sk|rk)_live_[0-9A-Za-z]{16,}"),
     Rule("bearer", r"(?i:authorization:\x20*bearer)\x20+[A-Za-z0-9._~+/-]{16,}=*"),
@@ -245,11 +250,8 @@ def scan(docs: DataFrame, base: list[Rule] | None = None, more: list[Rule] | Non
     )
     # A generator's output is made once per row; a plain column would be searched again where it is used.
     searched = rows.select("doc_id", *keep, F.inline(F.array(spans)))
-    free = F.filter(
-        F.col("_more"),
-        lambda c: ~F.exists(F.flatten("base"), lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"])),
-    )
-    spans = F.array_sort(F.concat(F.flatten("base"), apart(F.array_sort(free))))
+    others = free(F.col("_more"), F.flatten("base"), within=True)
+    spans = F.array_sort(F.concat(F.flatten("base"), apart(F.array_sort(others))))
     every = F.array_sort(F.concat(F.flatten("base"), F.col("_more")))
     return searched.select("doc_id", *keep, "base", spans.alias("spans"), every.alias("all"))
 
