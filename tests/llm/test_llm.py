@@ -514,7 +514,7 @@ def test_shared_passages_begin_paragraphs_alike():
         for _ in range(2):
             before = [f"b{rng.randrange(10**6)}" for _ in range(rng.randrange(0, 60))]
             after = [f"a{rng.randrange(10**6)}" for _ in range(rng.randrange(0, 60))]
-            found = passages.Paragraphs(" ".join(before + shared + after), hasher)
+            found = passages.Paragraphs(["other text", " ".join(before + shared + after), ""], hasher)
             starts.append({tuple(row) for row in found.sets})
         assert starts[0] & starts[1]
     bands, rows = passages.tuned()
@@ -545,6 +545,57 @@ def test_whole_passages_go(spark):
     assert cut[5] == words[5][:9]
 
 
+def test_passages_with_changed_words_go(spark):
+    rng = random.Random(8)
+    fresh = lambda n: [f"y{rng.randrange(10**7)}" for _ in range(n)]
+    rows, most = [], {}
+    for k in range(40):
+        shared = fresh(100)
+        other = list(shared)
+        for i in rng.sample(range(100), 2):
+            other[i] = "changed"
+        most[2 * k + 1] = other
+        rows += [(2 * k, " ".join(fresh(30) + shared + fresh(30)), "s"), (2 * k + 1, " ".join(fresh(30) + other + fresh(30)), "s")]
+    df = spark.createDataFrame(rows, DOC)
+    cut = {r["doc_id"]: r["text"].split() for r in passages.without(df, passages.removals(df)).collect()}
+    left = {k: len(set(words) & set(cut[k])) for k, words in most.items()}
+    assert sum(n <= 5 for n in left.values()) >= 36
+    # Words beside the passage stay, but for one that a changed last word may take along.
+    assert all(len([w for w in cut[k] if w not in set(most[k])]) >= 58 for k in most)
+
+
+def test_alike_words():
+    alike = lambda a, b: passages.alike_words(np.array(list(a.encode())), np.array(list(b.encode())))
+    assert alike("abcdef", "abcdef") == 6 and alike("abcxyz", "abcdef") == 3 and alike("", "abc") == 0
+    assert alike("abXdefgh", "abcdefgh") == 8 and alike("abdefgh", "abcdefgh") == 7 and alike("abcXdefgh", "abcdefgh") == 9
+    assert alike("abXYefghij", "abcdefghij") == 10 and alike("abXYZfghij", "abcdefghij") == 2 and alike("abXdef", "abcdef") == 2
+
+
+def plain_starts(words, hasher):
+    """For each window of a text the leftmost place of the smallest seed."""
+    hashes = hasher.word_hashes(words)
+    n = len(hashes) - passages.LENGTH + 1
+    if n < 1:
+        return set()
+    seeds = near.mixed(sum(hashes[i : n + i] * np.uint64(2 * i + 3) for i in range(passages.SEED))) >> np.uint64(30)
+    windows = range(max(1, n - passages.REACH + 1))
+    return {w + int(seeds[w : w + passages.REACH].argmin()) for w in windows}
+
+
+def test_starts_of_many_texts_are_those_of_each():
+    rng = random.Random(3)
+    hasher = near.Hasher()
+    sizes = [0, 1, 19, 20, 21, 49, 50, 51, 52, 300, 0, 20, 70]
+    texts = [" ".join(rng.choice(["a", "b", "c", f"w{rng.randrange(99)}"]) for _ in range(n)) for n in sizes] + ["x " * 200]
+    found = passages.Paragraphs(texts, hasher)
+    for i, text in enumerate(texts):
+        assert set(found.at[found.text == i].tolist()) == plain_starts(near.words_of(text), hasher)
+    begin, end = found.begin, found.end
+    for k, i in enumerate(found.text):
+        part = texts[i].split()[found.at[k] : found.at[k] + passages.LENGTH]
+        assert texts[i][begin[k] : end[k]].split() == part
+
+
 def test_passages_odd_rows(odd, none):
     assert passages.removals(odd).count() == passages.removals(none).count() == 0
     kept = passages.without(odd, passages.removals(odd))

@@ -39,6 +39,27 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Shelf:
+    """Stored tables of one operator, which it deletes when their last reader is done."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def put(self, df: DataFrame) -> DataFrame:
+        """As :func:`stored`."""
+        path = f"{work_folder(self.spark)}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        made = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(made)] = (made, path)
+        return made
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete these tables, or all."""
+        for key in [id(t) for t in tables] if tables else list(self.paths):
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(key)[1])
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def keep_rows(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """The rows of ``df`` whose ``key`` is among ``ids``, a stored table of distinct keys.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunemill.llm.common import stored
+from tunemill.llm.common import Shelf
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -17,14 +17,16 @@ def components(links: DataFrame) -> DataFrame:
     the longest path.  The minimum is aggregated before the shuffle and joined
     back, so a node with very many links is no single task.
     """
-    edges = stored(_both_ways(links.where(F.col("a") != F.col("b"))))
+    shelf = Shelf(links.sparkSession)
+    edges = shelf.put(_both_ways(links.where(F.col("a") != F.col("b"))))
     while True:
-        large = _to_smallest(edges, larger=True)
-        edges_next = stored(_both_ways(_to_smallest(stored(_both_ways(large)), larger=False)))
+        large = shelf.put(_both_ways(_to_smallest(edges, larger=True)))
+        edges_next = shelf.put(_both_ways(_to_smallest(large, larger=False)))
         same = (
             edges_next.count() == edges.count()
             and edges_next.join(edges, ["a", "b"], "left_anti").isEmpty()
         )
+        shelf.drop(edges, large)
         edges = edges_next
         if same:
             break
