@@ -514,7 +514,7 @@ def test_shared_passages_begin_paragraphs_alike():
         for _ in range(2):
             before = [f"b{rng.randrange(10**6)}" for _ in range(rng.randrange(0, 60))]
             after = [f"a{rng.randrange(10**6)}" for _ in range(rng.randrange(0, 60))]
-            found = passages.Paragraphs(["other text", " ".join(before + shared + after), ""], hasher)
+            found = passages.Paragraphs(passages.Words(["other text", " ".join(before + shared + after), ""], hasher))
             starts.append({tuple(row) for row in found.sets})
         assert starts[0] & starts[1]
     bands, rows = passages.tuned()
@@ -571,28 +571,29 @@ def test_alike_words():
     assert alike("abXYefghij", "abcdefghij") == 10 and alike("abXYZfghij", "abcdefghij") == 2 and alike("abXdef", "abcdef") == 2
 
 
-def plain_starts(words, hasher):
+def plain_starts(words, hasher, length, reach):
     """For each window of a text the leftmost place of the smallest seed."""
     hashes = hasher.word_hashes(words)
-    n = len(hashes) - passages.LENGTH + 1
+    n = len(hashes) - length + 1
     if n < 1:
         return set()
     seeds = near.mixed(sum(hashes[i : n + i] * np.uint64(2 * i + 3) for i in range(passages.SEED))) >> np.uint64(30)
-    windows = range(max(1, n - passages.REACH + 1))
-    return {w + int(seeds[w : w + passages.REACH].argmin()) for w in windows}
+    windows = range(max(1, n - reach + 1))
+    return {w + int(seeds[w : w + reach].argmin()) for w in windows}
 
 
-def test_starts_of_many_texts_are_those_of_each():
+@pytest.mark.parametrize("length, reach", [(20, 31), (60, 127)])
+def test_starts_of_many_texts_are_those_of_each(length, reach):
     rng = random.Random(3)
     hasher = near.Hasher()
-    sizes = [0, 1, 19, 20, 21, 49, 50, 51, 52, 300, 0, 20, 70]
+    sizes = [0, 1, 19, 20, 21, 49, 50, 51, 52, 300, 0, 20, 70, 59, 60, 61, 185, 186, 187, 500]
     texts = [" ".join(rng.choice(["a", "b", "c", f"w{rng.randrange(99)}"]) for _ in range(n)) for n in sizes] + ["x " * 200]
-    found = passages.Paragraphs(texts, hasher)
+    found = passages.Paragraphs(passages.Words(texts, hasher), length, reach)
     for i, text in enumerate(texts):
-        assert set(found.at[found.text == i].tolist()) == plain_starts(near.words_of(text), hasher)
+        assert set(found.at[found.text == i].tolist()) == plain_starts(near.words_of(text), hasher, length, reach)
     begin, end = found.begin, found.end
     for k, i in enumerate(found.text):
-        part = texts[i].split()[found.at[k] : found.at[k] + passages.LENGTH]
+        part = texts[i].split()[found.at[k] : found.at[k] + length]
         assert texts[i][begin[k] : end[k]].split() == part
 
 
