@@ -130,6 +130,23 @@ def test_rules_on_odd_urls(spark):
     assert urls.judge(pages.limit(0), rules, [1, 4]).count() == 0
 
 
+def test_long_lists_long_hosts_and_repeated_pages(spark, monkeypatch):
+    given = [(1, "http://a.net/x"), (1, "http://a.net/x"), (1, "http://a.org/fr/1"), (None, "http://a.net/"), (None, None),
+             (2, "http://" + "l." * 100_000 + "net/y"), (3, "http://" + "." * 50 + "/"), (4, "no url")]
+    pages = spark.createDataFrame([(k, u, "x", 1) for k, u in given], "page_id bigint, url string, key string, host int")
+    rules = urls.rule_table(spark)
+    short = sorted(map(tuple, urls.judge(pages, rules, [1, 4]).collect()), key=str)
+    assert len(short) == len(given) and sum(r[4] == "block" for r in short) == 4
+    monkeypatch.setattr(urls, "MAX_BYTES", 1)
+    assert sorted(map(tuple, urls.judge(pages, rules, [1, 4]).collect()), key=str) == short
+
+
+def test_empty_texts_share_a_bin(spark):
+    df = spark.createDataFrame([(i, None if i % 2 else " ", f"s{i}") for i in range(300)], "doc_id bigint, text string, source string")
+    bins = packing.pack_by_source(df).select("bin_group", "bin").distinct()
+    assert bins.count() == 1
+
+
 # --- neighbours ---------------------------------------------------------------
 
 

@@ -14,7 +14,10 @@ rest, each with its place; pieces of one document never share a bin with its
 copies, so a third of all rows in one source means more bins, not larger tasks.
 
 A NULL or empty text has no tokens and takes no room: it goes into a bin as a
-piece of length 0.  A NULL source or cluster conflicts with nothing.
+piece of length 0, in the duplicate cluster of none.  A NULL source or cluster
+conflicts with nothing.  Clusters are those of equal texts unless the caller
+names another column.  Repeated rows are packed each; an empty table gives no
+pieces.  Very long texts are cut into pieces.  Other columns are not read and may have any names.
 """
 
 from __future__ import annotations
@@ -119,8 +122,9 @@ def word_count(text: str = "text") -> Column:
 
 
 def copy_cluster(text: str = "text") -> Column:
-    """The same for equal texts."""
-    return F.xxhash64(F.md5(text_or_empty(text)))
+    """The same for equal texts; NULL, which conflicts with nothing, for texts without a word."""
+    whole = text_or_empty(text)
+    return F.when(whole.rlike(r"[^\x20\x09-\x0D]"), F.xxhash64(F.md5(whole)))
 
 
 def pack_by_source(docs: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:

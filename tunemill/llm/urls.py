@@ -11,11 +11,14 @@ and a url is judged from its own row: no join.
 
 The universe is read once; what level 1 lets through of it is stored, and later
 levels look at that alone.  A level is an array of 64-bit words that goes to the
-executors inside the expression, ``MAX_BYTES`` at most in all; a longer list
-is refused before anything is sent, and :func:`judge_by_join` gives the same
-answers by equality joins for lists of any size.
+executors inside the expression, ``MAX_BYTES`` at most in all.  For a list that
+would need more, which its count says before anything is sent, :func:`judge`
+takes :func:`judge_by_join`, which gives the same answers by equality joins.
 
+Only as many labels of a host are looked at as some rule has, so hosts may be of any length.
 A NULL url, or one without ``://``, has an empty host and path, and no keys.
+Repeated and NULL ``page_id``s: a row each.  An empty table of pages gives no rows, without rules all urls get ``otherwise``.
+Other columns of the pages are not read and may have any names.
 Ties among fitting rules: the longest host and path together, then the longest host.
 """
 
@@ -38,9 +41,14 @@ RULES = (
 """Verdict, host, beginning of the path."""
 MAX_BYTES = 64 << 20
 FIRST_RATE, NEXT_RATE = 0.02, 0.5
+SALTS = 8
 SEPARATOR = "\u0000"
 
 
+class TooLong(ValueError):
+    """A list whose filters would exceed ``MAX_BYTES``."""
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host with A-Z in lower case, and path; both empty without ``://``."""
     rest = F.regexp_extract(url, r"(?s)^.*?://(.*)$", 1)
@@ -51,13 +59,17 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def keys_of(host: Column, path: Column, lengths: Sequence[int]) -> Column:
-    """All keys that a rule fitting the url could have: each suffix of the host by labels, with each
-    beginning of the path of a length that some rule has.  Longest first."""
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
-    )
+def most_labels(rules: DataFrame) -> int:
+    """Labels of the longest host among the rules."""
+    host = F.element_at(F.split("key", SEPARATOR), 1)
+    return rules.agg(F.max(F.size(F.split(host, r"\.")))).first()[0] or 1
+
+
+def keys_of(host: Column, path: Column, lengths: Sequence[int], labels: int) -> Column:
+    """All keys that a rule fitting the url could have: each suffix of the host of up to ``labels`` labels,
+    with each beginning of the path of a length that some rule has.  Longest first."""
+    named = F.slice(F.reverse(F.split(host, r"\.")), 1, labels)
+    suffixes = F.transform(named, lambda _, i: F.array_join(F.reverse(F.slice(named, 1, i + 1)), "."))
     starts = F.filter(
         F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths]), lambda p: p.isNotNull()
     )
@@ -80,7 +92,7 @@ class Level:
         self.number = number
         self.bytes = self.bits // 8
         if self.bytes > MAX_BYTES:
-            raise ValueError(f"a list of {n} keys needs more than {MAX_BYTES} bytes; use judge_by_join")
+            raise TooLong(f"a list of {n} keys needs more than {MAX_BYTES} bytes")
         bit = F.explode(F.array(*self._places(F.col("key")))).alias("bit")
         set_bits = keys.select(bit)
         words = set_bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(
@@ -119,7 +131,7 @@ class Cascade:
             # Those of the other side that this level lets through must be told apart by the next.
             outside, inside = stored(inside.where(level.lets_through(F.col("key")))), outside
             if sum(x.bytes for x in self.levels) > MAX_BYTES:
-                raise ValueError(f"the cascade needs more than {MAX_BYTES} bytes; use judge_by_join")
+                raise TooLong(f"the cascade needs more than {MAX_BYTES} bytes")
 
     def holds(self, key: Column) -> Column:
         """A key stops at the first level that refuses it: an odd one means not listed, an even one listed."""
@@ -144,11 +156,15 @@ def judge(pages: DataFrame, rules: DataFrame, lengths: Sequence[int], otherwise:
     host, path = host_and_path(F.col("url"))
     # A generator's output is made once per row, however often the columns are named.
     parts = pages.select("page_id", F.inline(F.array(F.struct(host.alias("host"), path.alias("path")))))
-    keyed = parts.select("page_id", "host", "path", keys_of(F.col("host"), F.col("path"), lengths).alias("_keys"))
+    keys = keys_of(F.col("host"), F.col("path"), lengths, most_labels(rules))
+    keyed = parts.select("page_id", "host", "path", keys.alias("_keys"))
     universe = keyed.select(F.explode("_keys").alias("key"))
-    listed = Cascade(universe, rules)
-    # What blocks is asked only of listed keys, so these are the second one's universe.
-    blocked = Cascade(rules.select("key"), rules.where(F.col("verdict") == "block"))
+    try:
+        listed = Cascade(universe, rules)
+        # What blocks is asked only of listed keys, so these are the second one's universe.
+        blocked = Cascade(rules.select("key"), rules.where(F.col("verdict") == "block"))
+    except TooLong:
+        return judge_by_join(pages, rules, lengths, otherwise)
     fitting = F.get(F.filter("_keys", listed.holds), F.lit(0))
     found = keyed.select("page_id", "host", "path", F.explode(F.array(fitting)).alias("_rule"))
     return found.select(
@@ -164,14 +180,22 @@ def judge(pages: DataFrame, rules: DataFrame, lengths: Sequence[int], otherwise:
 
 
 def judge_by_join(pages: DataFrame, rules: DataFrame, lengths: Sequence[int], otherwise: str = "allow") -> DataFrame:
-    """The same by an equality join of keys, for lists beyond ``MAX_BYTES``; ``page_id`` must be unique."""
+    """The same by an equality join of keys, for lists of any size; rows that are alike are judged once."""
     host, path = host_and_path(F.col("url"))
-    parts = pages.select("page_id", host.alias("host"), path.alias("path"))
-    keyed = parts.select("*", F.posexplode_outer(keys_of(F.col("host"), F.col("path"), lengths)).alias("_at", "key"))
-    single = rules.groupBy("key").agg(F.max(F.col("verdict") == "block").alias("_block"))
-    joined = keyed.join(single, "key", "left")
+    rows = ["page_id", "host", "path"]
+    parts = pages.select("page_id", host.alias("host"), path.alias("path")).groupBy(*rows).agg(F.count("*").alias("_n"))
+    keys = keys_of(F.col("host"), F.col("path"), lengths, most_labels(rules))
+    keyed = parts.select("*", F.posexplode_outer(keys).alias("_at", "key"))
+    single = rules.where(F.col("key").isNotNull()).groupBy("key").agg(F.max(F.col("verdict") == "block").alias("_block"))
+    # A common key has one rule and very many rows: those are dealt over salted copies of the rule.
+    salt = F.pmod(F.xxhash64(*rows), F.lit(SALTS)).cast("int")
+    salted = single.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    joined = keyed.withColumn("_salt", salt).join(salted, ["key", "_salt"], "left")
     hit = F.when(F.col("_block").isNotNull(), F.struct("_at", "key", "_block"))
-    best = joined.groupBy("page_id").agg(F.first("host").alias("host"), F.first("path").alias("path"), F.min(hit).alias("_hit"))
+    best = joined.groupBy(*rows).agg(F.first("_n").alias("_n"), F.min(hit).alias("_hit"))
+    step = F.lit(1 << 16).cast("bigint")
+    best = best.withColumn("_from", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"), step)))
+    best = best.withColumn("_copy", F.explode(F.sequence("_from", F.least(F.col("_n"), F.col("_from") + step - 1))))
     return best.select(
         "page_id",
         "host",
