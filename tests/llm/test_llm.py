@@ -581,6 +581,17 @@ def test_passages_with_changed_words_go(spark):
     assert all(len([w for w in cut[k] if w not in set(most[k])]) >= 58 for k in most)
 
 
+def test_word_hashes_tell_words_apart():
+    rng = random.Random(4)
+    words = sorted({"".join(rng.choice("abcé😀Z\u00a0") for _ in range(rng.randint(1, 9))) for _ in range(3000)} | {"x" * 5000, "x" * 5001})
+    made = passages.Words(["  ".join(words) + "\t", "", words[7].upper() + "\x0b" + words[7]], near.Hasher())
+    lowered = [w.encode().lower() for w in words]
+    assert len(set(made.hashes[: len(words)].tolist())) == len(set(lowered))
+    assert made.bounds.tolist() == [0, len(words), len(words), len(words) + 2]
+    text = "  ".join(words)
+    assert [text[a:b] for a, b in zip(made.begins, made.ends)][: len(words)] == words
+
+
 def test_alike_words():
     alike = lambda a, b: passages.alike_words(np.array(list(a.encode())), np.array(list(b.encode())))
     assert alike("abcdef", "abcdef") == 6 and alike("abcxyz", "abcdef") == 3 and alike("", "abc") == 0
@@ -588,9 +599,9 @@ def test_alike_words():
     assert alike("abXYefghij", "abcdefghij") == 10 and alike("abXYZfghij", "abcdefghij") == 2 and alike("abXdef", "abcdef") == 2
 
 
-def plain_starts(words, hasher, length, reach):
+def plain_starts(text, hasher, length, reach):
     """For each window of a text the leftmost place of the smallest seed."""
-    hashes = hasher.word_hashes(words)
+    hashes = np.concatenate([np.zeros(0, np.uint64), *[passages.Words([w.decode()], hasher).hashes for w in near.words_of(text)]])
     n = len(hashes) - length + 1
     if n < 1:
         return set()
@@ -607,10 +618,11 @@ def test_starts_of_many_texts_are_those_of_each(length, reach):
     texts = [" ".join(rng.choice(["a", "b", "c", f"w{rng.randrange(99)}"]) for _ in range(n)) for n in sizes] + ["x " * 200]
     found = passages.Paragraphs(passages.Words(texts, hasher), length, reach)
     for i, text in enumerate(texts):
-        assert set(found.at[found.text == i].tolist()) == plain_starts(near.words_of(text), hasher, length, reach)
+        assert set(found.at[found.text == i].tolist()) == plain_starts(text, hasher, length, reach)
     begin, end = found.begin, found.end
     for k, i in enumerate(found.text):
-        part = texts[i].split()[found.at[k] : found.at[k] + length]
+        cut = passages.TRIM if length == passages.LONG else 0
+        part = texts[i].split()[found.at[k] + cut : found.at[k] + length - cut]
         assert texts[i][begin[k] : end[k]].split() == part
 
 
