@@ -18,6 +18,7 @@ from tunemill.queries import (
     SAMPLE_ROWS,
     SEED,
     SIZE_LIMIT,
+    WINDOW_CHARS,
 )
 
 BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
@@ -159,6 +160,51 @@ counted AS (
 )
 """
 
+LATEST = """
+WITH named AS (
+  SELECT o_custkey, CASE WHEN o_orderstatus = 'F' THEN 'runs'
+    ELSE 'checkpoint-' || (o_orderkey % 1009) END AS name FROM orders
+), numbered AS (
+  SELECT *, CASE WHEN starts_with(name, 'checkpoint-')
+    THEN CAST(string_split(name, '-')[2] AS BIGINT) END AS number FROM named
+)
+SELECT o_custkey, coalesce(arg_max(name, number), '') AS name,
+       coalesce(max(number), -1) AS version
+FROM numbered GROUP BY o_custkey
+"""
+
+BIGRAMS = f"""
+listed AS (SELECT doc_id, lang, {tokens('text')} AS t FROM documents),
+pairs AS (
+  SELECT * FROM (SELECT doc_id, lang, unnest(t) AS token, unnest(list_prepend('', t)) AS prev FROM listed)
+  WHERE token IS NOT NULL
+),
+experts AS (
+  SELECT * FROM (VALUES {', '.join(f"('{e}', {i}, {COEFS[e]})" for i, e in enumerate(EXPERTS))})
+    AS t(expert, expert_pos, coef)
+),
+counted AS (SELECT lang AS expert, prev, token, count(*) AS c FROM pairs GROUP BY ALL),
+firsts AS (SELECT expert, prev, sum(c) AS n, count(*) AS f FROM counted GROUP BY ALL),
+seconds AS (SELECT expert, token, count(*) AS b FROM counted GROUP BY ALL),
+sizes AS (
+  SELECT expert, sum(b) + (SELECT count(DISTINCT token) FROM pairs) AS size FROM seconds GROUP BY expert
+),
+per_doc AS (SELECT doc_id, prev, token, count(*) AS k FROM pairs GROUP BY ALL),
+given AS (
+  SELECT doc_id, k, expert, expert_pos, coef, coalesce(c, 0) AS c, n, f, (coalesce(b, 0) + 1) / size AS p
+  FROM per_doc CROSS JOIN experts
+  JOIN sizes USING (expert)
+  LEFT JOIN counted USING (expert, prev, token)
+  LEFT JOIN firsts USING (expert, prev)
+  LEFT JOIN seconds USING (expert, token)
+),
+scores AS (
+  SELECT doc_id, expert, expert_pos, coef, exp(-sum(k * ln(
+           CASE WHEN n IS NULL THEN p ELSE greatest(c - 0.75, 0) / n + 0.75 * f / n * p END)) / sum(k)) AS ppl
+  FROM given GROUP BY ALL
+)
+"""
+
 UNIGRAMS = f"""
 words AS (SELECT doc_id, lang, unnest({tokens('text')}) AS token FROM documents),
 experts AS (
@@ -398,19 +444,23 @@ def oracle_sql() -> dict[str, str]:
             WITH {UNIGRAMS} SELECT doc_id, arg_min(expert, (ppl * coef, expert_pos)) AS expert,
                    round(min(ppl * coef), 4) AS score
             FROM scores GROUP BY doc_id""",
-        "latest_version": """
-            WITH named AS (
-              SELECT o_custkey, CASE WHEN o_orderstatus = 'F' THEN 'runs'
-                ELSE 'checkpoint-' || (o_orderkey % 1009) END AS name FROM orders
-            ), numbered AS (
-              SELECT *, CASE WHEN starts_with(name, 'checkpoint-')
-                THEN CAST(string_split(name, '-')[2] AS BIGINT) END AS number FROM named
-            )
-            SELECT o_custkey, coalesce(arg_max(name, number), '') AS name,
-                   coalesce(max(number), -1) AS version
-            FROM numbered GROUP BY o_custkey""",
+        "perplexity_bigram": f"WITH {BIGRAMS} SELECT doc_id, expert, round(ppl, 4) AS ppl FROM scores",
+        "expert_route_bigram": f"""
+            WITH {BIGRAMS} SELECT doc_id, arg_min(expert, (ppl * coef, expert_pos)) AS expert,
+                   round(min(ppl * coef), 4) AS score
+            FROM scores GROUP BY doc_id""",
+        "vote_counts_stream": """
+            SELECT user_id, event_type, count(*) AS votes, min(event_id) AS first_pos FROM events GROUP BY ALL""",
+        "latest_version_stream": LATEST,
+        "latest_version": LATEST,
         "elapsed": """
             SELECT event_id, user_id, epoch_us(lead(ts) OVER w) - epoch_us(ts) AS elapsed_us
             FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
         "map_rows": "SELECT doc_id, lang, text FROM documents",
+        "map_rows_isolated": f"""
+            SELECT doc_id,
+                   CASE WHEN length(text) <= {WINDOW_CHARS}
+                     THEN length(regexp_replace(text, '[^a-z]', '', 'g')) END AS n_lower,
+                   CASE WHEN length(text) > {WINDOW_CHARS} THEN 'ValueError: text longer than the window' END AS error
+            FROM documents""",
     }

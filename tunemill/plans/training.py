@@ -298,6 +298,7 @@ def run_recipes(
     done: Iterable[str] = (),
     schemas: Mapping[str, T.StructType] | None = None,
     complete: bool = False,
+    even_files: bool = False,
 ) -> dict[str, str]:
     """Write the training sets of all recipes that are not done, source by source.
 
@@ -309,7 +310,7 @@ def run_recipes(
     its job has ended well; until then the last one stays.
     ``schemas`` has the declared schema of data sets by id: no file is then
     read to guess it.  ``complete``: no input or output is NULL, see
-    :func:`training_texts`.
+    :func:`training_texts`.  ``even_files``: see :func:`write_parts`.
     """
     finished = set(done)
     pending = sorted((r for r in recipes if r.name not in finished), key=lambda r: (r.dataset_id, r.load_config or ""))
@@ -329,7 +330,7 @@ def run_recipes(
                 good.append(recipe)
             except FAILURES as error:
                 outcome[recipe.name] = reason(error)
-        outcome |= _write_together(source, good, key, folder, complete)
+        outcome |= _write_together(source, good, key, folder, complete, even_files)
     return outcome
 
 
@@ -352,18 +353,24 @@ def record_finished(spark: SparkSession, out: str, outcome: Mapping[str, str]) -
 
 
 def _write_together(
-    source: DataFrame, recipes: Sequence[Recipe], key: Sequence[str], folder: str, complete: bool = False
+    source: DataFrame,
+    recipes: Sequence[Recipe],
+    key: Sequence[str],
+    folder: str,
+    complete: bool = False,
+    even_files: bool = False,
 ) -> dict[str, str]:
     """Write recipes in one job; if it fails, each by itself."""
     if not recipes:
         return {}
     try:
-        write_parts(training_sets(source, recipes, key, complete), folder, "recipe", [r.name for r in recipes])
+        made = training_sets(source, recipes, key, complete)
+        write_parts(made, folder, "recipe", [r.name for r in recipes], even_files)
         return {r.name: "ok" for r in recipes}
     except FAILURES as error:
         if len(recipes) == 1:
             return {recipes[0].name: reason(error)}
     outcome: dict[str, str] = {}
     for recipe in recipes:
-        outcome |= _write_together(source, [recipe], key, folder, complete)
+        outcome |= _write_together(source, [recipe], key, folder, complete, even_files)
     return outcome

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,7 @@ from tunemill.functions.extract import (
 )
 from tunemill.functions.lines import first_line, normalize_lines, words
 from tunemill.functions.values import as_text, label_text, size_allowed, size_bytes
+from tunemill.operators.bigrams import bigram_perplexity, fit_bigrams
 from tunemill.operators.filters import filter_equals
 from tunemill.operators.logs import latest_version, time_to_next
 from tunemill.operators.packing import pack, truncate
@@ -31,7 +33,7 @@ from tunemill.operators.routing import (
     perplexity,
     unigram_perplexity,
 )
-from tunemill.operators.rows import map_rows
+from tunemill.operators.rows import map_rows, map_rows_apart
 from tunemill.operators.sampling import (
     every_kth,
     first_rows,
@@ -49,6 +51,8 @@ from tunemill.session import work_folder
 from tunemill.sources.catalog import groups_within
 from tunemill.sources.datasets import Library, scan
 from tunemill.sources.ingest import BAD, parse_json
+from tunemill.streaming.merged import Merging, compact, merged, stream_merged, versions, votes
+from tunemill.streaming.render import read_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +67,7 @@ MAX_TOKENS = 128
 CHAT_PART_TURNS = 1_000
 BLOCK = 256
 SIZE_LIMIT = 120_000
+WINDOW_CHARS = 4_000
 RECIPES = (
     Recipe("text-de", "documents", "text", filter_field_name="lang", filter_field_value="de"),
     Recipe("text-en", "documents", "text", filter_field_name="lang", filter_field_value="en"),
@@ -448,12 +453,56 @@ def expert_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen.select("doc_id", "expert", F.round("score", 4).alias("score"))
 
 
-def latest_version_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+def _bigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    tokens = words(F.col("text"))
+    folder = f"{work_folder(spark)}/bigrams-{uuid.uuid4().hex}"
+    terms = fit_bigrams(docs, F.col("lang"), tokens, EXPERTS, folder)
+    return bigram_perplexity(docs, "doc_id", tokens, terms, EXPERTS)
+
+
+def perplexity_bigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``perplexity_unigram``, each word given the one before it."""
+    scores = _bigram_scores(spark, sf_dir).select("doc_id", F.inline("scores"))
+    return scores.select("doc_id", "expert", F.round("ppl", 4).alias("ppl"))
+
+
+def expert_route_bigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = choose_scored(_bigram_scores(spark, sf_dir), "doc_id", COEFS)
+    return chosen.select("doc_id", "expert", F.round("score", 4).alias("score"))
+
+
+def _named_versions(orders: DataFrame) -> DataFrame:
     name = F.when(F.col("o_orderstatus") == "F", "runs").otherwise(
         F.concat(F.lit("checkpoint-"), F.col("o_orderkey") % 1009)
     )
-    return latest_version(orders.select("o_custkey", name.alias("name")), "o_custkey", "name")
+    return orders.select("o_custkey", name.alias("name"))
+
+
+def latest_version_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_version(_named_versions(table(spark, sf_dir, "orders")), "o_custkey", "name")
+
+
+def _streamed(
+    spark: SparkSession, sf_dir: str, name: str, rows: Callable[[DataFrame], DataFrame], merging: Merging
+) -> DataFrame:
+    """A table that arrives as a stream of files, merged to one aggregate."""
+    folder = f"{work_folder(spark)}/stream-{uuid.uuid4().hex}"
+    # A pattern: the path of a stream must else be a folder, and a table may be one file.
+    path = Library(sf_dir, suffix=".parquet").path(f"[{name[0]}]{name[1:]}")
+    source = read_stream(spark, path, table(spark, sf_dir, name).schema)
+    stream_merged(rows(source), merging, f"{folder}/out", f"{folder}/state").awaitTermination()
+    compact(spark, merging, f"{folder}/out")
+    return merged(spark, merging, f"{folder}/out")
+
+
+def vote_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merging = votes("user_id", "event_type", "event_id")
+    return _streamed(spark, sf_dir, "events", lambda rows: rows, merging)
+
+
+def latest_version_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir, "orders", _named_versions, versions("o_custkey", "name"))
 
 
 def elapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -504,6 +553,19 @@ def map_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_rows(_documents(spark, sf_dir).select("doc_id", "lang", "text"), lambda part: part)
 
 
+def _lower_within(part: pd.DataFrame) -> pd.DataFrame:
+    """A function with a limit: it refuses texts that are longer than its window."""
+    if (part["text"].str.len() > WINDOW_CHARS).any():
+        raise ValueError("text longer than the window")
+    return part.assign(n_lower=part["text"].str.count("[a-z]"))[["doc_id", "n_lower"]]
+
+
+def map_rows_isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    made = map_rows_apart(docs, _lower_within, "doc_id long, n_lower long")
+    return made.select(F.coalesce("doc_id", "failed.doc_id").alias("doc_id"), "n_lower", "error")
+
+
 # --- whole jobs -----------------------------------------------------------
 
 
@@ -592,7 +654,12 @@ def queries() -> dict[str, Query]:
         "perplexity_tokens": perplexity_tokens,
         "perplexity_unigram": perplexity_unigram,
         "expert_route": expert_route,
+        "perplexity_bigram": perplexity_bigram,
+        "expert_route_bigram": expert_route_bigram,
+        "vote_counts_stream": vote_counts_stream,
+        "latest_version_stream": latest_version_stream,
         "latest_version": latest_version_query,
         "elapsed": elapsed,
         "map_rows": map_rows_query,
+        "map_rows_isolated": map_rows_isolated,
     }

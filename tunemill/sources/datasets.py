@@ -123,8 +123,17 @@ def write_splits(df: DataFrame, path: str) -> None:
     publish(df.sparkSession, path, lambda folder: df.write.partitionBy("split").parquet(folder))
 
 
-def write_parts(df: DataFrame, path: str, column: str, values: Sequence[str]) -> None:
-    """As :func:`write_splits` for the parts ``values`` of ``column``, each with a folder of its own below ``path``."""
+def write_parts(df: DataFrame, path: str, column: str, values: Sequence[str], even_files: bool = False) -> None:
+    """As :func:`write_splits` for the parts ``values`` of ``column``, each with a folder of its own below ``path``.
+
+    Without ``even_files`` each task writes a file for every part it has rows
+    of, so there are up to tasks times parts files.  With it, rows move once:
+    those of a part come together, in as many tasks as the part has times
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, however large it is,
+    and small parts share a task.
+    """
+    if even_files:
+        df = df.hint("rebalance", column, "split")
     publish_partitions(
         df.sparkSession, path, column, values, lambda folder: df.write.partitionBy(column, "split").parquet(folder)
     )
