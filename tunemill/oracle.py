@@ -281,6 +281,8 @@ def oracle_sql() -> dict[str, str]:
         "incremental_skip": """
             SELECT doc_id, lang, source, n_chars FROM documents d
             WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
+        "incremental_filtered": """
+            SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
         "recipe_fanout": FANOUT,
         "recipe_fanout_mixed": f"""
             SELECT 'mixed-en' AS recipe, doc_id, {pretrain('text')} AS text FROM documents WHERE lang = 'en'

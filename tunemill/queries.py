@@ -51,6 +51,7 @@ from tunemill.session import work_folder
 from tunemill.sources.catalog import groups_within
 from tunemill.sources.datasets import Library, scan
 from tunemill.sources.ingest import BAD, parse_json
+from tunemill.sources.manifest import Manifest
 from tunemill.streaming.merged import Merging, compact, merged, stream_merged, versions, votes
 from tunemill.streaming.render import read_stream
 
@@ -175,6 +176,13 @@ def incremental_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending.select("doc_id", "lang", "source", "n_chars")
 
 
+def incremental_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``incremental_skip``, with the labels' keys in a manifest."""
+    manifest = Manifest(spark, f"{work_folder(spark)}/manifest-{uuid.uuid4().hex}", ["doc_id"])
+    manifest.record(table(spark, sf_dir, "labels"))
+    return manifest.not_done(_documents(spark, sf_dir)).select("doc_id", "lang", "source", "n_chars")
+
+
 def recipe_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fan_out(_documents(spark, sf_dir), RECIPES, ["doc_id"])
 
@@ -600,6 +608,7 @@ def queries() -> dict[str, Query]:
         "split_slice": split_slice,
         "ingest_quarantine": ingest_quarantine,
         "incremental_skip": incremental_skip,
+        "incremental_filtered": incremental_filtered,
         "recipe_fanout": recipe_fanout,
         "recipe_fanout_mixed": recipe_fanout_mixed,
         "vote_ranking_nulls": vote_ranking_nulls,
