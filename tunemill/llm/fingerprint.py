@@ -13,6 +13,7 @@ bytes, but for its length code.  Equal texts have equal digests.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,16 +85,17 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def _range_number(value: Column, cuts: list[int]) -> Column:
-    """How many of the sorted cuts are at most the value, by a search tree of conditions."""
+def _numbers(values: list[int]) -> Column:
+    """A list of numbers as one literal, however long."""
+    text = F.lit(",".join(map(str, values)))
+    return F.split(text, ",").cast("array<bigint>") if values else F.array().cast("array<bigint>")
 
-    def tree(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value < F.lit(cuts[middle]), tree(low, middle)).otherwise(tree(middle + 1, high))
 
-    return tree(0, len(cuts))
+def _range_number(value: Column, cuts: list[int]) -> Column:
+    """How many of the sorted cuts are at most the value: first among every ``step``-th cut, then among those between."""
+    step = max(1, math.isqrt(len(cuts)))
+    passed = step * F.size(F.filter(_numbers(cuts[step - 1 :: step]), lambda cut: cut <= value))
+    return passed + F.size(F.filter(F.slice(_numbers(cuts), passed + 1, step), lambda cut: cut <= value))
 
 
 def with_following(docs: DataFrame, ranges: int | None = None) -> DataFrame:
@@ -118,11 +120,11 @@ def with_following(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     number = _range_number(F.col("_id"), cuts)
     tops = ids.groupBy(number.alias("_range")).agg(F.max("_id").alias("top")).collect()  # one row a range
     tops = sorted((r["_range"], r["top"]) for r in tops)
-    border = {top: tops[(i + 1) % len(tops)][0] for i, (_, top) in enumerate(tops)}
-    goes = F.lit(None).cast("int")
-    if border:
-        pairs = [x for top, to in border.items() for x in (F.lit(top), F.lit(to))]
-        goes = F.element_at(F.create_map(*pairs), F.col("_id"))
+    # By number of range: its highest id, and the next range above that has rows, which needs it.
+    highest, above = [0] * ranges, [0] * ranges
+    for i, (at, top) in enumerate(tops):
+        highest[at], above[at] = top, tops[(i + 1) % len(tops)][0]
+    goes = F.when(F.get(_numbers(highest), number) == F.col("_id"), F.get(_numbers(above), number).cast("int"))
     place = lambda where, last: F.struct(where.alias("_range"), F.lit(last).alias("_last"))
     placed = docs.select("doc_id", text_of(docs), lowest.alias("_id")).select(
         "doc_id",
