@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -353,6 +354,19 @@ def test_fingerprints_follow_the_order_of_ids(docs, odd, none):
     assert fingerprint.with_following(none).count() == 0
 
 
+def test_thousands_of_ranges_give_the_same_rows(docs):
+    before = time.time()
+    many = fingerprint.with_following(docs, 8_000)
+    assert time.time() - before < 15
+    assert set(map(tuple, many.collect())) == set(map(tuple, fingerprint.with_following(docs, 1).collect()))
+
+
+def test_numbers_of_ranges(spark):
+    for cuts in ([], [5], [-3, 0, 7, 8], list(range(0, 700, 7))):
+        rows = spark.range(-10, 720).select("id", fingerprint._range_number(F.col("id"), cuts).alias("n"))
+        assert all(r.n == sum(cut <= r.id for cut in cuts) for r in rows.collect())
+
+
 def test_repeated_ids_each_have_a_follower(spark):
     df = spark.createDataFrame([(1, "abc"), (1, "abd"), (2, "x"), (2, "y"), (3, "z")], "doc_id long, text string")
     made = sorted((r["doc_id"], r["edited_sha256"]) for r in fingerprint.with_following(df, 2).collect())
@@ -431,21 +445,47 @@ def test_near_duplicates_equal_brute_force(spark, docs):
             assert found == expected
 
 
-def test_a_crowd_in_blocks(spark, monkeypatch):
+@pytest.mark.parametrize(("pivots", "drift"), [(16, False), (1, False), (1, True)])
+def test_a_crowd_in_blocks(spark, monkeypatch, pivots, drift):
+    """Edits of one text, or with ``drift`` a chain of edits whose ends have little in common."""
     rng = random.Random(6)
     base = [f"w{rng.randrange(900)}" for _ in range(120)]
     texts = {}
     for i in range(150):
         words = list(base)
         for _ in range(rng.randrange(0, 8)):
-            words[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
+            words[rng.randrange(60 if drift else 120)] = f"x{rng.randrange(10**6)}"
         texts[i] = " ".join(words)
+        base = words if drift and i % 3 == 0 else base
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     monkeypatch.setattr(near, "BLOCK", 40)
+    monkeypatch.setattr(near, "PIVOTS", pivots)
     found = {r[0]: r[2] for r in near.near_duplicates(df).collect()}
     assert found == {k: c for k, (_, c) in plain_classes(texts, 5).items()}
 
 
+def test_rows_of_crowds_grow_with_their_members(spark):
+    sizes = []
+    for n in (4_000, 8_000):
+        every = near.dealt(spark.range(n).select(F.lit(0).alias("group"), F.col("id").alias("node"), F.lit(9).alias("size")))
+        blocks = every.first()["blocks"]
+        first = near.first_tasks(every)
+        assert blocks == -(-n // near.BLOCK) and first.count() == n + near.PIVOTS * (blocks - 1)
+        outside = every.where("node < 30").select("group", "node", "size")
+        rest = near.rest_tasks(every, outside)
+        assert rest.count() == rest.distinct().count() == n - 30 + 30 * blocks
+        sizes.append(first.count() + rest.count())
+    assert sizes[1] < 2.1 * sizes[0]
+
+
+def test_every_outsider_meets_every_member(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 10)
+    every = near.dealt(spark.range(60).select(F.lit(0).alias("group"), F.col("id").alias("node"), F.lit(9).alias("size")))
+    tasks = near.rest_tasks(every, every.where("node < 25").select("group", "node", "size"))
+    met = {frozenset((a, b)) for rows in tasks.groupBy("i", "j").agg(F.collect_list("node").alias("n")).collect() for a in rows["n"] for b in rows["n"]}
+    assert all(frozenset((a, b)) in met for a in range(25) for b in range(60))
+
+
 def test_near_duplicates_odd_rows(odd, none):
     rows = Counter(map(tuple, near.near_duplicates(odd).collect()))
     assert rows[(None, 3, None, True)] == 1

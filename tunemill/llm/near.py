@@ -14,11 +14,16 @@ enough to look at each sketch's rarest values, all but ``SHARED - 1`` of them;
 any such pair meets in one of these lists, while a passage that many documents
 hold is among the common values that are left out.
 
-Groups are cut into blocks of about ``BLOCK`` members (fewer if their sets are
-large: ``BLOCK_VALUES`` values in all), and each pair of blocks is a task, so no task holds more than two blocks.  A task gives back a
-spanning forest of the links it has found, one row a member, and the pairs
-themselves never become rows.  A group of n members compares n * n / 2 pairs
-by matrix products inside tasks: all links count, so nothing is skipped.
+A group of more than about ``BLOCK`` members (fewer if their sets are large:
+``BLOCK_VALUES`` values in all) is compared in two steps.  First each block of
+it, together with ``PIVOTS`` members that all blocks get.  What that joins in
+one component need not be compared again; in a real crowd it is nearly all.
+Then the outsiders, those not in the group's largest component, are cut into
+blocks and compared with every block of the group.  Two members that are never
+compared are in one component already, so all links count, and a crowd of n
+members costs n comparisons for each of a block and for each outsider.  No
+task holds more than two blocks.  A task gives back a spanning forest of the
+links it has found, one row a member; pairs themselves never become rows.
 
 NULL ids: the row keeps NULL as its component and is kept.  NULL or empty
 texts: an empty set, linked with nothing.  Repeated ids: a row each, linked by
@@ -32,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunemill.llm.common import grouped_batches, keep_rows, stored
@@ -42,7 +47,7 @@ WORDS, SIMILARITY = 5, 0.8
 SKETCH, SHARED = 32, 12
 LEAST_ESTIMATE = 0.4
 """Estimates at a true 0.8 are below this but for one pair in ten million."""
-BLOCK, BLOCK_VALUES = 1_024, 4_000_000
+BLOCK, BLOCK_VALUES, PIVOTS = 1_024, 4_000_000, 16
 FEW, SHORT = 12, 64
 """Groups of so few short sets, of which there are very many, are compared without arrays."""
 MAX_KNOWN = 400_000
@@ -155,16 +160,52 @@ def list_groups(members: DataFrame, shared: int = SHARED, size: int = SKETCH) ->
     return common.select("node", F.explode(groups).alias("group")).select("group", "node")
 
 
-def tasks(memberships: DataFrame) -> DataFrame:
-    """``memberships`` (``group``, ``node``, ``size``) with the pair of blocks ``i``, ``j`` of each task they belong to."""
+def _blocks(n: Column, size: Column) -> Column:
+    return F.ceil(F.greatest(n / BLOCK, size / BLOCK_VALUES)).cast("int")
+
+
+def _own(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("node", "group"), F.col(blocks)).cast("int")
+
+
+def dealt(memberships: DataFrame) -> DataFrame:
+    """``memberships`` (``group``, ``node``, ``size``) of two and more, with the number of the group's ``blocks``."""
     sizes = memberships.groupBy("group").agg(F.count("*").alias("_n"), F.sum("size").alias("_size"))
-    blocks = F.ceil(F.greatest(F.col("_n") / BLOCK, F.col("_size") / BLOCK_VALUES)).cast("int")
-    own = F.pmod(F.xxhash64("node", "group"), blocks).cast("int")
-    pair = F.transform(
-        F.sequence(F.lit(0), blocks - 1),
-        lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j")),
+    sizes = sizes.where(F.col("_n") > 1).select("group", _blocks(F.col("_n"), F.col("_size")).alias("blocks"))
+    return memberships.join(sizes, "group")
+
+
+def first_tasks(members: DataFrame) -> DataFrame:
+    """``group``, ``node``, ``i``, ``j`` of the first step: each block, with pivots of the first block in all of them."""
+    own = members.select("group", "node", "blocks", _own("blocks").alias("i"))
+    in_turn = Window.partitionBy("group").orderBy(F.xxhash64("node"), "node")
+    pivots = (
+        own.where((F.col("i") == 0) & (F.col("blocks") > 1))  # a block of each group
+        .withColumn("_rank", F.row_number().over(in_turn))
+        .where(F.col("_rank") <= PIVOTS)
+        .select("group", "node", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)).alias("i"))
     )
-    return memberships.join(sizes.where(F.col("_n") > 1), "group").select("group", "node", own.alias("own"), F.inline(pair))
+    return own.drop("blocks").unionByName(pivots).withColumn("j", F.lit(-1))
+
+
+def rest_tasks(members: DataFrame, outsiders: DataFrame) -> DataFrame:
+    """``group``, ``node``, ``i``, ``j`` of the second step: each block ``i`` of outsiders with each block ``j`` of all.
+
+    ``outsiders`` has ``group``, ``node``, ``size``.  One that is in both blocks of a task comes once.
+    """
+    counts = outsiders.groupBy("group").agg(F.count("*").alias("_n"), F.sum("size").alias("_size"))
+    counts = counts.select("group", _blocks(F.col("_n"), F.col("_size")).alias("_apart"))
+    marked = members.join(counts, "group").join(
+        outsiders.select("group", "node", F.lit(True).alias("_out")), ["group", "node"], "left"
+    )
+    apart = F.when(F.col("_out"), _own("_apart"))
+    among = F.transform(
+        F.sequence(F.lit(0), F.col("_apart") - 1), lambda i: F.struct(i.alias("i"), _own("blocks").alias("j"))
+    )
+    among = F.filter(among, lambda pair: ~pair["i"].eqNullSafe(apart))
+    against = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(apart.alias("i"), j.alias("j")))
+    every = F.when(F.col("_out"), F.concat(among, against)).otherwise(among)
+    return marked.select("group", "node", F.inline(every))
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -236,19 +277,19 @@ def forest(linked: np.ndarray) -> np.ndarray:
 
 
 def _by_task(rows: DataFrame, column: str, work, schema: str) -> DataFrame:
-    """Run ``work(nodes, own, sets, i, j)`` on each task's members, which come in order of node."""
+    """Run ``work(group, nodes, sets)`` on each task's members, which come in order of node."""
     keys = ["group", "i", "j"]
-    ordered = rows.select(*keys, "node", "own", column).repartition(*keys).sortWithinPartitions(*keys, "node")
+    ordered = rows.select(*keys, "node", column).repartition(*keys).sortWithinPartitions(*keys, "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (group, i, j), part in grouped_batches(batches, keys):
+        for (group, _, _), part in grouped_batches(batches, keys):
             if part.num_rows < 2:
                 continue
             lists = part.column(column).combine_chunks()
             ends = lists.offsets.to_numpy()
             flat = lists.values.to_numpy()
             sets = [np.sort(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
-            made = work(group, part.column("node").to_numpy(), part.column("own").to_numpy(), sets, i, j)
+            made = work(group, part.column("node").to_numpy(), sets)
             if made is not None:
                 yield made
 
@@ -257,36 +298,56 @@ def _by_task(rows: DataFrame, column: str, work, schema: str) -> DataFrame:
 
 def likely(members: DataFrame, memberships: DataFrame) -> DataFrame:
     """Those memberships (``group``, ``node``) with a partner whose sketch looks alike."""
-    dealt = tasks(memberships.withColumn("size", F.lit(SKETCH))).join(members.select("node", "sketch"), "node")
 
-    def work(group, nodes, own, sets, i, j):
+    def work(group, nodes, sets):
         alike = estimated(sets)
-        if i != j:
-            alike &= own[:, None] != own[None, :]
         kept = nodes[alike.any(axis=1) if len(nodes) <= 64 else (alike & ~np.eye(len(nodes), dtype=bool)).any(axis=1)]
         if not len(kept):
             return None
         return pa.RecordBatch.from_arrays([pa.array([group] * len(kept), pa.int64()), pa.array(kept)], names=["group", "node"])
 
-    return _by_task(dealt, "sketch", work, "group bigint, node bigint").distinct()
+    def found(dealt_rows: DataFrame) -> DataFrame:
+        return _by_task(dealt_rows.join(members.select("node", "sketch"), "node"), "sketch", work, "group bigint, node bigint")
+
+    every = stored(dealt(memberships.withColumn("size", F.lit(SKETCH))))
+    first = stored(found(first_tasks(every)).distinct())
+    large = every.where(F.col("blocks") > 1)
+    outside = stored(large.join(first, ["group", "node"], "left_anti"))
+    if outside.isEmpty():
+        return first
+    return first.unionByName(found(rest_tasks(large, outside))).distinct()
 
 
 def links(memberships: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``a``, ``b`` that join all members of a group whose exact similarity reaches ``percent``.
+    """Links ``a``, ``b`` that join all members of a group whose exact similarity reaches ``percent``, by any path.
 
     ``sets`` has ``node`` and ``values``.
     """
-    sized = memberships.join(sets.groupBy("node").agg(F.sum(F.size("values")).alias("size")), "node")
-    dealt = tasks(sized).join(sets, "node")
 
-    def work(group, nodes, own, values, i, j):
+    def work(group, nodes, values):
         root = forest(similar(values, percent))
         moved = root != np.arange(len(root))
         if not moved.any():
             return None
         return pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[root[moved]])], names=["a", "b"])
 
-    return _by_task(dealt, "values", work, "a bigint, b bigint").distinct()
+    def found(dealt_rows: DataFrame) -> DataFrame:
+        return _by_task(dealt_rows.join(sets, "node"), "values", work, "a bigint, b bigint")
+
+    sizes = sets.groupBy("node").agg(F.sum(F.size("values")).alias("size"))
+    every = stored(dealt(memberships.join(sizes, "node")))
+    first = stored(found(first_tasks(every)).distinct())
+    large = every.where(F.col("blocks") > 1)
+    if large.isEmpty():
+        return first
+    joined = large.join(components(first), "node", "left")
+    joined = stored(joined.withColumn("component", F.coalesce("component", "node")))
+    counted = joined.groupBy("group", "component").agg(F.count("*").alias("n"))
+    largest = counted.groupBy("group").agg(F.max_by("component", F.struct("n", "component")).alias("component"))
+    outside = stored(joined.join(largest, ["group", "component"], "left_anti").select("group", "node", "size"))
+    if outside.isEmpty():
+        return first
+    return first.unionByName(found(rest_tasks(large, outside))).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = 80) -> DataFrame:
