@@ -464,6 +464,12 @@ def test_a_crowd_in_blocks(spark, monkeypatch, pivots, drift):
     assert found == {k: c for k, (_, c) in plain_classes(texts, 5).items()}
 
 
+def test_outsiders_are_those_without_the_largest_pivot(spark):
+    large = spark.range(6).select(F.lit(1).alias("group"), F.col("id").alias("node"), F.lit(5).alias("size"))
+    first = spark.createDataFrame([(1, 0, 0, 0), (1, 1, 0, 0), (1, 2, 0, 0), (1, 3, 3, 3), (1, 5, 4, None)], "group int, a long, b long, root long")
+    assert {r.node for r in near.outsiders(large, first).collect()} == {3, 4, 5}
+
+
 def test_rows_of_crowds_grow_with_their_members(spark):
     sizes = []
     for n in (4_000, 8_000):

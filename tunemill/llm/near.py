@@ -16,14 +16,15 @@ hold is among the common values that are left out.
 
 A group of more than about ``BLOCK`` members (fewer if their sets are large:
 ``BLOCK_VALUES`` values in all) is compared in two steps.  First each block of
-it, together with ``PIVOTS`` members that all blocks get.  What that joins in
-one component need not be compared again; in a real crowd it is nearly all.
-Then the outsiders, those not in the group's largest component, are cut into
-blocks and compared with every block of the group.  Two members that are never
-compared are in one component already, so all links count, and a crowd of n
-members costs n comparisons for each of a block and for each outsider.  No
-task holds more than two blocks.  A task gives back a spanning forest of the
-links it has found, one row a member; pairs themselves never become rows.
+it, with ``PIVOTS`` members that all blocks get, by exact Jaccard.  Members
+that this joins with one pivot, whichever gathers most, need not be compared
+again; in a real crowd these are nearly all.  Then the outsiders, the others,
+are cut into blocks and compared with every block of the group, sketches
+first.  Two members that are never compared are in one component already, so
+all links count, and a crowd of n members costs n comparisons for each member
+of a block and for each outsider.  No task holds more than two blocks.  A task
+gives back a spanning forest of the links it has found, one row a member;
+pairs themselves never become rows.
 
 NULL ids: the row keeps NULL as its component and is kept.  NULL or empty
 texts: an empty set, linked with nothing.  Repeated ids: a row each, linked by
@@ -142,22 +143,22 @@ def full_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def list_groups(members: DataFrame, shared: int = SHARED, size: int = SKETCH) -> DataFrame:
-    """Distinct ``group`` and ``node`` from the inverted lists of each sketch's rarest values.
+    """Distinct ``group``, ``node`` and ``size`` from the inverted lists of each sketch's rarest values.
 
-    ``members`` has ``node`` and ``sketch``.  Sizes and smallest members of the
+    ``members`` has ``node``, ``size`` and ``sketch``.  Sizes and smallest members of the
     lists are aggregated before the shuffle; the values come back to their
     member by an equality join, which adaptive execution splits if a list is hot.
     """
-    values = members.select("node", F.size("sketch").alias("n"), F.explode("sketch").alias("value"))
+    values = members.select("node", "size", F.size("sketch").alias("n"), F.explode("sketch").alias("value"))
     lists = values.groupBy("value").agg(F.count("*").alias("df"), F.min("node").alias("group")).where(F.col("df") > 1)
-    common = values.join(lists, "value").groupBy("node", "n").agg(
+    common = values.join(lists, "value").groupBy("node", "size", "n").agg(
         F.array_sort(F.collect_list(F.struct("df", "value", "group"))).alias("lists")  # at most SKETCH
     )
     # Values that no other member has are the rarest of all; they take up part of the prefix.
     needed = F.greatest(F.lit(1), F.floor(F.col("n") * shared / size)).cast("int")
     prefix = F.greatest(F.lit(0), F.size("lists") - needed + 1)
     groups = F.array_distinct(F.transform(F.slice("lists", 1, prefix), lambda x: x["group"]))
-    return common.select("node", F.explode(groups).alias("group")).select("group", "node")
+    return common.select(F.explode(groups).alias("group"), "node", "size")
 
 
 def _blocks(n: Column, size: Column) -> Column:
@@ -175,21 +176,22 @@ def dealt(memberships: DataFrame) -> DataFrame:
     return memberships.join(sizes, "group")
 
 
-def first_tasks(members: DataFrame) -> DataFrame:
-    """``group``, ``node``, ``i``, ``j`` of the first step: each block, with pivots of the first block in all of them."""
-    own = members.select("group", "node", "blocks", _own("blocks").alias("i"))
+def first_tasks(large: DataFrame) -> DataFrame:
+    """``group``, ``node``, ``pivot``, ``i``, ``j`` of the first step: each block, with the pivots in all of them.
+
+    Pivots are members of a group's first block.
+    """
+    own = large.select("group", "node", "blocks", _own("blocks").alias("i"))
     in_turn = Window.partitionBy("group").orderBy(F.xxhash64("node"), "node")
-    pivots = (
-        own.where((F.col("i") == 0) & (F.col("blocks") > 1))  # a block of each group
-        .withColumn("_rank", F.row_number().over(in_turn))
-        .where(F.col("_rank") <= PIVOTS)
-        .select("group", "node", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)).alias("i"))
-    )
-    return own.drop("blocks").unionByName(pivots).withColumn("j", F.lit(-1))
+    begins = own.where("i = 0").withColumn("pivot", F.row_number().over(in_turn) <= PIVOTS)  # a block of each group
+    others = F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))
+    begins = begins.select("group", "node", "pivot", F.explode(others).alias("i"))
+    rest = own.where("i > 0").select("group", "node", F.lit(False).alias("pivot"), "i")
+    return begins.unionByName(rest).withColumn("j", F.lit(-1))
 
 
 def rest_tasks(members: DataFrame, outsiders: DataFrame) -> DataFrame:
-    """``group``, ``node``, ``i``, ``j`` of the second step: each block ``i`` of outsiders with each block ``j`` of all.
+    """``group``, ``node``, ``pivot`` (false), ``i``, ``j`` of the second step: each block ``i`` of outsiders with each block ``j`` of all.
 
     ``outsiders`` has ``group``, ``node``, ``size``.  One that is in both blocks of a task comes once.
     """
@@ -205,7 +207,7 @@ def rest_tasks(members: DataFrame, outsiders: DataFrame) -> DataFrame:
     among = F.filter(among, lambda pair: ~pair["i"].eqNullSafe(apart))
     against = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(apart.alias("i"), j.alias("j")))
     every = F.when(F.col("_out"), F.concat(among, against)).otherwise(among)
-    return marked.select("group", "node", F.inline(every))
+    return marked.select("group", "node", F.lit(False).alias("pivot"), F.inline(every))
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -277,9 +279,9 @@ def forest(linked: np.ndarray) -> np.ndarray:
 
 
 def _by_task(rows: DataFrame, column: str, work, schema: str) -> DataFrame:
-    """Run ``work(group, nodes, sets)`` on each task's members, which come in order of node."""
+    """Run ``work(group, nodes, sets, pivots)`` on each task's members, which come in order of node."""
     keys = ["group", "i", "j"]
-    ordered = rows.select(*keys, "node", column).repartition(*keys).sortWithinPartitions(*keys, "node")
+    ordered = rows.select(*keys, "node", "pivot", column).repartition(*keys).sortWithinPartitions(*keys, "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (group, _, _), part in grouped_batches(batches, keys):
@@ -289,65 +291,61 @@ def _by_task(rows: DataFrame, column: str, work, schema: str) -> DataFrame:
             ends = lists.offsets.to_numpy()
             flat = lists.values.to_numpy()
             sets = [np.sort(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
-            made = work(group, part.column("node").to_numpy(), sets)
+            made = work(group, part.column("node").to_numpy(), sets, np.array(part.column("pivot").to_pylist(), bool))
             if made is not None:
                 yield made
 
     return ordered.mapInArrow(run, schema)
 
 
-def likely(members: DataFrame, memberships: DataFrame) -> DataFrame:
-    """Those memberships (``group``, ``node``) with a partner whose sketch looks alike."""
+def likely(members: DataFrame, tasks: DataFrame) -> DataFrame:
+    """``group`` and ``node`` of those with a partner in one of their tasks whose sketch looks alike."""
 
-    def work(group, nodes, sets):
+    def work(group, nodes, sets, _):
         alike = estimated(sets)
         kept = nodes[alike.any(axis=1) if len(nodes) <= 64 else (alike & ~np.eye(len(nodes), dtype=bool)).any(axis=1)]
         if not len(kept):
             return None
         return pa.RecordBatch.from_arrays([pa.array([group] * len(kept), pa.int64()), pa.array(kept)], names=["group", "node"])
 
-    def found(dealt_rows: DataFrame) -> DataFrame:
-        return _by_task(dealt_rows.join(members.select("node", "sketch"), "node"), "sketch", work, "group bigint, node bigint")
-
-    every = stored(dealt(memberships.withColumn("size", F.lit(SKETCH))))
-    first = stored(found(first_tasks(every)).distinct())
-    large = every.where(F.col("blocks") > 1)
-    outside = stored(large.join(first, ["group", "node"], "left_anti"))
-    if outside.isEmpty():
-        return first
-    return first.unionByName(found(rest_tasks(large, outside))).distinct()
+    sketched = tasks.join(members.select("node", "sketch"), "node")
+    return _by_task(sketched, "sketch", work, "group bigint, node bigint").distinct()
 
 
-def links(memberships: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``a``, ``b`` that join all members of a group whose exact similarity reaches ``percent``, by any path.
+def links(tasks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a``, ``b`` that join all members of a task whose exact similarity reaches ``percent``, by any path.
 
-    ``sets`` has ``node`` and ``values``.
+    ``sets`` has ``node`` and ``values``.  Beside a link is its ``group`` and the smallest pivot,
+    ``root``, of what the task has joined; those with one get a row even if ``a`` is ``b``.
     """
 
-    def work(group, nodes, values):
+    def work(group, nodes, values, pivots):
         root = forest(similar(values, percent))
-        moved = root != np.arange(len(root))
-        if not moved.any():
+        smallest = np.full(len(nodes), -1)
+        at = np.flatnonzero(pivots)[::-1]
+        smallest[root[at]] = at  # the last to be assigned is the smallest
+        smallest = smallest[root]
+        kept = (root != np.arange(len(root))) | (smallest >= 0)
+        if not kept.any():
             return None
-        return pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[root[moved]])], names=["a", "b"])
-
-    def found(dealt_rows: DataFrame) -> DataFrame:
-        return _by_task(dealt_rows.join(sets, "node"), "values", work, "a bigint, b bigint")
-
-    sizes = sets.groupBy("node").agg(F.sum(F.size("values")).alias("size"))
-    every = stored(dealt(memberships.join(sizes, "node")))
-    first = stored(found(first_tasks(every)).distinct())
-    large = every.where(F.col("blocks") > 1)
-    if large.isEmpty():
-        return first
-    joined = large.join(components(first), "node", "left")
-    joined = stored(joined.withColumn("component", F.coalesce("component", "node")))
-    counted = joined.groupBy("group", "component").agg(F.count("*").alias("n"))
-    largest = counted.groupBy("group").agg(F.max_by("component", F.struct("n", "component")).alias("component"))
-    outside = stored(joined.join(largest, ["group", "component"], "left_anti").select("group", "node", "size"))
-    if outside.isEmpty():
-        return first
-    return first.unionByName(found(rest_tasks(large, outside))).distinct()
+        found = pa.array(nodes[smallest[kept]], mask=smallest[kept] < 0)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([group] * int(kept.sum()), pa.int64()), pa.array(nodes[kept]), pa.array(nodes[root[kept]]), found],
+            names=["group", "a", "b", "root"],
+        )
+
+    return _by_task(tasks.join(sets, "node"), "values", work, "group bigint, a bigint, b bigint, root bigint")
+
+
+def outsiders(large: DataFrame, first: DataFrame) -> DataFrame:
+    """``group``, ``node``, ``size`` of the members that the first step's links leave outside the largest gathering."""
+    rooted = first.where(F.col("root").isNotNull()).select("group", F.col("a").alias("node"), "root")
+    largest = (
+        rooted.groupBy("group", "root").agg(F.count("*").alias("n"))
+        .groupBy("group").agg(F.max_by("root", F.struct("n", "root")).alias("root"))
+    )
+    inside = rooted.join(largest, ["group", "root"], "left_semi")
+    return large.join(inside, ["group", "node"], "left_anti").select("group", "node", "size")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = 80) -> DataFrame:
@@ -359,14 +357,28 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = 80) -> D
         raise ValueError("the sketch lists are made for similarities of 80 % and more")
     made = stored(sketches(docs, words))
     sets = made.where(F.col("set_hash").isNotNull() & F.col("doc_id").isNotNull())
-    members = stored(sets.groupBy("set_hash").agg(F.min("doc_id").alias("node"), F.any_value("sketch").alias("sketch")))
+    members = sets.groupBy("set_hash").agg(
+        F.min("doc_id").alias("node"), F.any_value("n_shingles").alias("size"), F.any_value("sketch").alias("sketch")
+    )
+    members = stored(members)
     # Two different texts under one id are one node: both sketches and sets count as that node's.
-    found = stored(list_groups(members))
-    pairs = stored(likely(members, found))
-    wanted = pairs.select(F.col("node").alias("doc_id")).distinct()
+    every = stored(dealt(list_groups(members)))
+    large = every.where("blocks > 1")
+    plain = (F.lit(False).alias("pivot"), F.lit(0).alias("i"), F.lit(-1).alias("j"))
+    small = likely(members, every.where("blocks = 1").select("group", "node", *plain)).select("group", "node", *plain)
+    tasks = stored(small.unionByName(first_tasks(large)))
+    wanted = tasks.select(F.col("node").alias("doc_id")).distinct()
     known = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     exact = stored(full_sets(keep_rows(known, stored(wanted), "doc_id"), words))
-    joined = components(links(pairs, exact, percent))
+    found = stored(links(tasks, exact, percent))
+    outside = stored(outsiders(large, found))
+    if not outside.isEmpty():
+        alike = stored(likely(members, rest_tasks(large, outside)))
+        rest = rest_tasks(
+            large.join(alike, ["group", "node"], "left_semi"), outside.join(alike, ["group", "node"], "left_semi")
+        )
+        found = found.unionByName(links(rest, exact, percent))
+    joined = components(found.select("a", "b"))
     labels = members.select("set_hash", "node").join(joined, "node", "left")
     labels = labels.select("set_hash", F.coalesce("component", "node").alias("_component"))
     out = made.select("doc_id", "n_shingles", "set_hash").join(labels, "set_hash", "left")
