@@ -445,8 +445,8 @@ def test_near_duplicates_equal_brute_force(spark, docs):
             assert found == expected
 
 
-@pytest.mark.parametrize(("pivots", "drift"), [(16, False), (1, False), (1, True)])
-def test_a_crowd_in_blocks(spark, monkeypatch, pivots, drift):
+@pytest.mark.parametrize("drift", [False, True])
+def test_a_crowd_in_blocks(spark, monkeypatch, drift):
     """Edits of one text, or with ``drift`` a chain of edits whose ends have little in common."""
     rng = random.Random(6)
     base = [f"w{rng.randrange(900)}" for _ in range(120)]
@@ -459,39 +459,10 @@ def test_a_crowd_in_blocks(spark, monkeypatch, pivots, drift):
         base = words if drift and i % 3 == 0 else base
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     monkeypatch.setattr(near, "BLOCK", 40)
-    monkeypatch.setattr(near, "PIVOTS", pivots)
     found = {r[0]: r[2] for r in near.near_duplicates(df).collect()}
     assert found == {k: c for k, (_, c) in plain_classes(texts, 5).items()}
 
 
-def test_outsiders_are_those_without_the_largest_pivot(spark):
-    large = spark.range(6).select(F.lit(1).alias("group"), F.col("id").alias("node"), F.lit(5).alias("size"))
-    first = spark.createDataFrame([(1, 0, 0, 0), (1, 1, 0, 0), (1, 2, 0, 0), (1, 3, 3, 3), (1, 5, 4, None)], "group int, a long, b long, root long")
-    assert {r.node for r in near.outsiders(large, first).collect()} == {3, 4, 5}
-
-
-def test_rows_of_crowds_grow_with_their_members(spark):
-    sizes = []
-    for n in (4_000, 8_000):
-        every = near.dealt(spark.range(n).select(F.lit(0).alias("group"), F.col("id").alias("node"), F.lit(9).alias("size")))
-        blocks = every.first()["blocks"]
-        first = near.first_tasks(every)
-        assert blocks == -(-n // near.BLOCK) and first.count() == n + near.PIVOTS * (blocks - 1)
-        outside = every.where("node < 30").select("group", "node", "size")
-        rest = near.rest_tasks(every, outside)
-        assert rest.count() == rest.distinct().count() == n - 30 + 30 * blocks
-        sizes.append(first.count() + rest.count())
-    assert sizes[1] < 2.1 * sizes[0]
-
-
-def test_every_outsider_meets_every_member(spark, monkeypatch):
-    monkeypatch.setattr(near, "BLOCK", 10)
-    every = near.dealt(spark.range(60).select(F.lit(0).alias("group"), F.col("id").alias("node"), F.lit(9).alias("size")))
-    tasks = near.rest_tasks(every, every.where("node < 25").select("group", "node", "size"))
-    met = {frozenset((a, b)) for rows in tasks.groupBy("i", "j").agg(F.collect_list("node").alias("n")).collect() for a in rows["n"] for b in rows["n"]}
-    assert all(frozenset((a, b)) in met for a in range(25) for b in range(60))
-
-
 def test_near_duplicates_odd_rows(odd, none):
     rows = Counter(map(tuple, near.near_duplicates(odd).collect()))
     assert rows[(None, 3, None, True)] == 1
