@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import time
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -354,6 +356,50 @@ def test_fingerprints_follow_the_order_of_ids(docs, odd, none):
     assert fingerprint.with_following(none).count() == 0
 
 
+def plain_digest(text):
+    """Counts, quartiles and codes by plain numbers, triplet by triplet."""
+    data, counts = text.encode(), [0] * 128
+    for i in range(len(data)):
+        for salt, (second, third) in enumerate(((1, 2), (2, 3), (3, 4))):
+            if i + third < len(data):
+                key = data[i] + data[i + second] * 256 + data[i + third] * 65_536 + salt * 16_777_216
+                counts[key * 2_654_435_761 % 2**32 // 2**25] += 1
+    q1, q2, q3 = (sorted(counts)[k] for k in (31, 63, 95))
+    codes = [sum(c > q for q in (q1, q2, q3)) for c in counts]
+    body = [codes[i] * 64 + codes[i + 1] * 16 + codes[i + 2] * 4 + codes[i + 3] for i in range(0, 128, 4)]
+    ratios = 16 * (16 * q1 // (q3 + 1) % 16) + 16 * q2 // (q3 + 1) % 16
+    return bytes([min(255, int(8 * math.log2(len(data) + 1))), ratios, *body]).hex()
+
+
+def plain_likeness(one, other):
+    a, b = bytes.fromhex(one), bytes.fromhex(other)
+    apart = min(64, abs(a[0] - b[0])) + 2 * (abs(a[1] // 16 - b[1] // 16) + abs(a[1] % 16 - b[1] % 16))
+    for x, y in zip(a[2:], b[2:]):
+        for place in (1, 4, 16, 64):
+            apart += {0: 0, 1: 1, 2: 2, 3: 6}[abs(x // place % 4 - y // place % 4)]
+    return 1.0 if one == other else 1 - min(fingerprint.BOUND, apart) / fingerprint.BOUND
+
+
+def test_fingerprints_equal_plain_counting(spark):
+    rng = random.Random(8)
+    words = ["stone", "río", "grün", "water", "\U0001f600", "x", "of", "the"]
+    texts = {i: " ".join(rng.choices(words, k=rng.choice([0, 1, 2, 30, 200]))) for i in range(60)}
+    texts |= {60: "", 61: "a", 62: "ab", 63: "abc", 64: "abcd", 65: "é" * 5, 66: texts[3]}
+    order = sorted(texts, reverse=True)
+    made = fingerprint.with_following(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 5)
+    found = {r["doc_id"]: r for r in made.collect()}
+    assert found.keys() == texts.keys()
+    for key, after in zip(order, order[1:] + order[:1]):
+        text, following, row = texts[key], texts[after], found[key]
+        n = len(text) // 3
+        changed = text[: len(text) - n] + following[:n]
+        assert row["n_chars"] == len(text)
+        assert row["edited_sha256"] == hashlib.sha256(changed.encode()).hexdigest()
+        assert row["fingerprint"] == plain_digest(text) and row["edited_fingerprint"] == plain_digest(changed)
+        assert row["near_edited"] == pytest.approx(plain_likeness(plain_digest(text), plain_digest(changed)), abs=1e-12)
+        assert row["near_next"] == pytest.approx(plain_likeness(plain_digest(text), plain_digest(following)), abs=1e-12)
+
+
 def test_thousands_of_ranges_give_the_same_rows(docs):
     before = time.time()
     many = fingerprint.with_following(docs, 8_000)
@@ -463,6 +509,15 @@ def test_a_crowd_in_blocks(spark, monkeypatch, drift):
     assert found == {k: c for k, (_, c) in plain_classes(texts, 5).items()}
 
 
+def test_near_duplicates_equal_their_sql(spark):
+    connection = duckdb.connect()
+    connection.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.01/documents.parquet'")
+    relation = connection.sql(near.ORACLE_SQL)
+    found = llm_queries.near_classes(spark, "/root/testdata/sf0.01")
+    assert found.columns == relation.columns
+    assert sorted(map(tuple, found.collect())) == sorted(relation.fetchall())
+
+
 def test_near_duplicates_odd_rows(odd, none):
     rows = Counter(map(tuple, near.near_duplicates(odd).collect()))
     assert rows[(None, 3, None, True)] == 1

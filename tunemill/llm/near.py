@@ -316,3 +316,30 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = 80) -> D
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+ORACLE_SQL = r"""WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'
+  ), lambda w: w <> '') AS words FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingle
+  FROM split
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), linked AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)
+), edges AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, e.b FROM reached r JOIN edges e ON e.a = r.other
+), classes AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN classes c USING (doc_id) LEFT JOIN sizes s USING (doc_id)
+"""
+"""Exact sets and links for words=4, all pairs that share a shingle; for tables small enough for that."""

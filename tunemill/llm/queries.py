@@ -109,6 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_url_filter": urls.ORACLE_SQL,
+        "op7_near_duplicates": near.ORACLE_SQL,
         "op11_spelling": spelling.ORACLE_SQL,
         "op12_conversation_trie": prefixes.ORACLE_SQL,
     }
