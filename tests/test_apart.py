@@ -82,6 +82,34 @@ def test_bigrams_of_nothing(spark, tmp_path):
     assert bigram_perplexity(empty, "id", tokens, terms, ["a"]).count() == 0
 
 
+def shuffled_rows(plan):
+    """Rows that a query which has run wrote to its shuffles, without those of subqueries."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return shuffled_rows(plan.executedPlan())
+    if name.endswith("QueryStage"):
+        return shuffled_rows(plan.plan())
+    children = plan.children()
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if name == "Exchange" else 0
+    return own + sum(shuffled_rows(children.apply(i)) for i in range(children.size()))
+
+
+def test_a_word_is_shuffled_once_to_be_scored(spark, tmp_path):
+    chance = random.Random(4)
+    rows = [(i, "ab"[i % 2], " ".join(f"w{chance.randrange(400)}" for _ in range(300))) for i in range(30)]
+    texts = spark.createDataFrame(rows, "id long, expert string, text string")
+    tokens = words(F.col("text"))
+    terms = fit_bigrams(texts, F.col("expert"), tokens, ["a", "b"], f"{tmp_path}/model", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        made = bigram_perplexity(texts, "id", tokens, terms, ["a", "b"], 0)
+        assert len(made.collect()) == 30
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Each word once and each term once, and some sums per text and partition; not three rows a word, twice.
+    assert 9_000 < shuffled_rows(made._jdf.queryExecution().executedPlan()) < 9_000 + terms.count() + 30 * 20
+
+
 def as_set(df):
     return {tuple(r) for r in df.collect()}
 

@@ -18,6 +18,8 @@ The logarithm is a sum of terms that exist for what an expert has seen only::
                  + log(1 + (c - D) / (D * f * P(w)))   by the pair
 
 so one table of terms, looked up once, scores texts with any words in them.
+The terms of frequent words are sent to every task; those of other words are
+added to the terms of their pairs, so a text sends a rare pair and no words.
 """
 
 from __future__ import annotations
@@ -89,10 +91,13 @@ def fit_bigrams(
     folder: str,
     head_bytes: int = HEAD_BYTES,
 ) -> DataFrame:
-    """The terms of all experts, kept below ``folder``: ``kind, prev, token, weight, logs``.
+    """The terms of all experts, kept below ``folder``: ``kind, prev, token, weight, sent, logs``.
 
     ``logs`` has a number per expert, in their order; ``weight`` is how often
-    the experts' texts use the term.  The texts are read once; all counts are
+    the experts' texts use the term.  ``sent`` marks the terms of words that
+    fit into half of ``head_bytes``; those of other words are part of the
+    terms of their pairs, and only pairs the experts have not seen use them
+    alone.  The texts are read once; all counts are
     combined before they are shuffled, and the counts of pairs are written
     before the three tables that need them are made.
     """
@@ -118,16 +123,24 @@ def fit_bigrams(
     )
     firsts.write.parquet(f"{folder}/firsts")
     seconds.write.parquet(f"{folder}/seconds")
-    firsts, seconds = spark.read.parquet(f"{folder}/firsts"), spark.read.parquet(f"{folder}/seconds")
+    # Words whose own terms are sent to every task; a quarter of the memory for each kind.
+    of_words = F.lit(64 + 16 * len(experts))
+    firsts, seconds = (
+        table.withColumn("sent", within_bytes(table, F.col("weight"), F.octet_length(word) + of_words, head_bytes // 4))
+        for word in ("prev", "token")
+        for table in [spark.read.parquet(f"{folder}/{'firsts' if word == 'prev' else 'seconds'}")]
+    )
 
     bases = seconds.agg(F.count("*").alias("_words"), *[F.coalesce(F.sum(b), F.lit(0)).alias(b) for b in before])
     of_base = F.array(*[(F.col(b) + F.col("_words")).cast("double") for b in before])
     sizes = bases.select(of_base).scalar()
 
-    def rows(table: DataFrame, kind: int, prev: Column, token: Column, weight: Column, logs: list[Column]) -> DataFrame:
+    def rows(
+        table: DataFrame, kind: int, prev: Column, token: Column, weight: Column, sent: Column, logs: list[Column]
+    ) -> DataFrame:
         return table.select(
             F.lit(kind).alias("kind"), prev.alias("prev"), token.alias("token"), weight.alias("weight"),
-            F.array(*logs).alias("logs"),
+            sent.alias("sent"), F.array(*logs).alias("logs"),
         )
 
     none = F.lit("")
@@ -135,21 +148,26 @@ def fit_bigrams(
     by_first = [
         F.when(F.col(n) > 0, F.log(DISCOUNT * F.col(f) / F.col(n))).otherwise(0.0) for n, f in zip(seen, after)
     ]
-    # A pair that an expert has not seen adds nothing.
+    # A pair that an expert has not seen adds nothing but the terms of words that are not sent.
+    alone = _each(experts, "l")
     by_pair = [
         F.when(
             F.col(c) > 0,
             F.log1p((F.col(c) - DISCOUNT) * F.get("_sizes", F.lit(i)) / (DISCOUNT * F.col(f) * (F.col(b) + 1.0))),
         ).otherwise(0.0)
-        for i, (c, f, b) in enumerate(zip(counts, after, before))
+        + F.col(first)
+        + F.when(F.col("sent"), 0.0).otherwise(word)
+        for i, (c, f, b, first, word) in enumerate(zip(counts, after, before, alone, by_word))
     ]
-    whole = _look_up(pairs, firsts, ["prev"], after, "_rows", head_bytes)
-    whole = _look_up(whole, seconds, ["token"], before, "_rows", head_bytes).withColumn("_sizes", sizes)
+    lone = firsts.select("*", *[F.when(F.col("sent"), 0.0).otherwise(log).alias(c) for log, c in zip(by_first, alone)])
+    whole = _look_up(pairs, lone, ["prev"], [*after, *alone], "_rows", head_bytes)
+    whole = _look_up(whole, seconds, ["token"], [*before, "sent"], "_rows", head_bytes).withColumn("_sizes", sizes)
+    no = F.lit(False)
     terms = [
-        rows(seconds, WORD, none, F.col("token"), F.col("weight"), by_word),
-        rows(firsts, BEFORE, F.col("prev"), none, F.col("weight"), by_first),
-        rows(whole, PAIR, F.col("prev"), F.col("token"), occurrences, by_pair),
-        rows(bases, BASE, none, none, F.lit(0).cast("bigint"), [F.log((F.col(b) + F.col("_words")).cast("double")) for b in before]),
+        rows(seconds, WORD, none, F.col("token"), F.col("weight"), F.col("sent"), by_word),
+        rows(firsts, BEFORE, F.col("prev"), none, F.col("weight"), F.col("sent"), by_first),
+        rows(whole, PAIR, F.col("prev"), F.col("token"), occurrences, no, by_pair),
+        rows(bases, BASE, none, none, F.lit(0).cast("bigint"), no, [F.log((F.col(b) + F.col("_words")).cast("double")) for b in before]),
     ]
     reduce(DataFrame.unionByName, terms).write.parquet(f"{folder}/terms")
     return spark.read.parquet(f"{folder}/terms")
@@ -165,40 +183,56 @@ def bigram_perplexity(
 ) -> DataFrame:
     """The key and ``scores``, an array of ``expert, expert_pos, ppl`` per text (``ppl`` NULL without words).
 
-    The heaviest terms, as many as fit into ``head_bytes``, are sent to every
-    task, where a text's words collapse into one partial sum before any
-    shuffle.  Terms left are joined by shuffle; they are rare in the texts the
-    model was fitted on, and of other texts adaptive execution splits what is
-    not.  Texts are read once, a term that no expert has adds nothing, and
-    models of no words give NULL.
+    The terms of the words that the model sends, and those of the heaviest
+    pairs, as many as fit into half of ``head_bytes``, are sent to every task,
+    where a text's words collapse into one partial sum before any shuffle.
+    Pairs left are shuffled once, with the key of their text, to be joined; they
+    are rare in the texts the model was fitted on, and of other texts adaptive
+    execution splits what is not.  Texts are read once for the sums and once for
+    these pairs, so no row is shuffled to be summed up before it is joined.  A
+    pair that no expert has looks up its words; a term that no expert has adds
+    nothing, and models of no words give NULL.
     """
     size = len(experts)
-    kept = terms.filter(F.col("kind") != BASE)
+    both = ["prev", "token"]
+    in_model = terms.filter(F.col("kind") == PAIR)
     row_bytes = F.octet_length("prev") + F.octet_length("token") + F.lit(64 + 16 * size)
-    heavy = within_bytes(kept, F.col("weight"), row_bytes, head_bytes)
-    head, tail = (kept.filter(c).select(*TERM, "logs") for c in (heavy, ~heavy))
-
-    none = F.lit("")
-    pairs = token_pairs(df, tokens, key)
-    parts = [(WORD, none, F.col("token")), (BEFORE, F.col("prev"), none), (PAIR, F.col("prev"), F.col("token"))]
-    wanted = pairs.select(
-        key,
-        F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), p.alias("prev"), t.alias("token")) for k, p, t in parts])),
-    )
-    looked_up = wanted.join(F.broadcast(head), TERM, "left")
-    missing = F.col("logs").isNull()
+    heavy = within_bytes(in_model, F.col("weight"), row_bytes, head_bytes // 2)
+    head = in_model.filter(heavy).select(*both, F.col("logs").alias("_pair"))
+    # Plain columns take less room in a shuffle than an array.
+    rare = [f"_r{i}" for i in range(size)]
+    tail = in_model.filter(~heavy).select(*both, *[F.get("logs", F.lit(i)).alias(r) for i, r in enumerate(rare)])
+    sent_words = terms.filter((F.col("kind") == WORD) & F.col("sent")).select("token", F.col("logs").alias("_word"))
+    sent_firsts = terms.filter((F.col("kind") == BEFORE) & F.col("sent")).select("prev", F.col("logs").alias("_first"))
+    words_alone = terms.filter(F.col("kind").isin(WORD, BEFORE) & ~F.col("sent")).select(*TERM, "logs")
+
+    def log(name: str, i: int) -> Column:
+        return F.coalesce(F.get(name, F.lit(i)), F.lit(0.0))
+
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in zip(TERM, ("int", "string", "string"))]
     sums = [f"_s{i}" for i in range(size)]
-    value = [F.coalesce(F.get("logs", F.lit(i)), F.lit(0.0)) for i in range(size)]
-    summed = looked_up.groupBy(key, *[F.when(missing, F.col(c)).alias(c) for c in TERM]).agg(
-        F.count("*").alias("_rows"),
-        F.count_if(F.col("kind") == WORD).alias("_n"),
-        F.count("logs").alias("_known"),
-        *[F.sum(v).alias(s) for v, s in zip(value, sums)],
-    )
+    pairs = token_pairs(df, tokens, key)
+    near = pairs.join(F.broadcast(sent_words), "token", "left").join(F.broadcast(sent_firsts), "prev", "left")
+    near = near.join(F.broadcast(head), both, "left").select(
+        key, *nothing, F.lit(1).alias("_words"),
+        *[(log("_word", i) + log("_first", i) + log("_pair", i)).alias(s) for i, s in enumerate(sums)],
+    )
+    far = pairs.join(F.broadcast(head), both, "left_anti").join(tail, both, "left")
+    none = F.lit("")
+    seen = F.array(F.struct(*nothing))
+    unseen = [(WORD, none, F.col("token")), (BEFORE, F.col("prev"), none)]
+    looked_for = F.array(*[F.struct(F.lit(k).alias("kind"), p.alias("prev"), t.alias("token")) for k, p, t in unseen])
+    far = far.select(
+        key, F.inline(F.when(F.col(rare[0]).isNotNull(), seen).otherwise(looked_for)), F.lit(0).alias("_words"),
+        *[F.coalesce(r, F.lit(0.0)).alias(s) for r, s in zip(rare, sums)],
+    )
+    summed = near.unionByName(far).groupBy(key, *TERM).agg(
+        F.count("*").alias("_rows"), F.count("kind").alias("_open"), F.sum("_words").alias("_n"), *[F.sum(s).alias(s) for s in sums]
+    )
     # Conditions on a count stay above the shuffle, so both branches read the same one.
-    known = summed.filter(F.col("_known") > 0).select(key, "_n", *sums)
-    unknown = summed.filter(F.col("_known") == 0).join(tail, TERM, "left")
-    unknown = unknown.select(key, "_n", *[(F.col(s) + F.col("_rows") * v).alias(s) for v, s in zip(value, sums)])
+    known = summed.filter(F.col("_open") == 0).select(key, "_n", *sums)
+    unknown = summed.filter(F.col("_open") > 0).join(words_alone, TERM)
+    unknown = unknown.select(key, "_n", *[(F.col(s) + F.col("_rows") * log("logs", i)).alias(s) for i, s in enumerate(sums)])
     totals = known.unionByName(unknown).groupBy(key).agg(*[F.sum(c).alias(c) for c in ("_n", *sums)])
 
     base = terms.filter(F.col("kind") == BASE).select("logs").scalar()
