@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from tunemill.functions.lines import words
 from tunemill.operators.bigrams import DISCOUNT, bigram_perplexity, fit_bigrams
 from tunemill.operators.logs import latest_version
-from tunemill.operators.rows import map_rows_apart
+from tunemill.operators.rows import map_rows, map_rows_apart
 from tunemill.operators.scoring import exact_match_score
 from tunemill.operators.voting import vote_counts
 from tunemill.plans.recipe import Recipe
 from tunemill.plans.training import run_recipes
+from tunemill.queries import queries
 from tunemill.sources.datasets import Library
 from tunemill.sources.publish import Folders
 from tunemill.streaming import merged
@@ -195,6 +196,34 @@ def test_rows_of_wrong_type_number_or_name(spark):
         map_rows_apart(spark.range(1).withColumnRenamed("id", "error"), lambda part: part)
 
 
+def test_a_function_gets_some_megabytes_at_once(spark):
+    def sized(part):
+        assert list(part.index) == list(range(len(part)))
+        return part.assign(together=part["text"].str.len().sum())[["id", "together"]]
+
+    rows = spark.range(40).coalesce(1).select("id", F.expr("repeat('x', 500000)").alias("text"))
+    small = spark.range(2_500).coalesce(1).select("id", F.lit("x").alias("text"))
+    for apply in (map_rows, map_rows_apart):
+        made = apply(rows, sized, "id long, together long").select("id", "together").collect()
+        assert [r.id for r in made] == list(range(40)) and max(r.together for r in made) <= 4 * 2**20
+        made = apply(small, sized, "id long, together long").select("id", "together").collect()
+        assert [r.id for r in made] == list(range(2_500)) and max(r.together for r in made) == 1_000
+    assert map_rows(spark.range(0), lambda part: part).count() == 0
+
+
+def test_more_to_read_makes_more_ranges(spark, tmp_path):
+    docs = [(i, "de", f"text {i}") for i in range(300)] + [(None, "en", None)]
+    spark.createDataFrame(docs, "doc_id long, lang string, text string").repartition(12).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1_000)
+    try:
+        made = queries()["systematic_sample_json"](spark, str(tmp_path))
+        assert len(made.inputFiles()) > 12
+        # NULL comes first.
+        assert [r.doc_id for r in made.orderBy("doc_id").collect()] == [None, *range(2, 300, 3)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_files_of_even_size(spark, tmp_path):
     rows = spark.range(6_000).select("id", F.expr("if(id % 3 = 0, 0, id % 40)").alias("n"), F.expr("repeat(sha2(string(id), 512), 4)").alias("q"))
     rows.repartition(12).write.parquet(f"{tmp_path}/sets/d")

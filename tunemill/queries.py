@@ -214,8 +214,9 @@ def systematic_sample_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third document of a copy in JSON lines, whose reader does not number its rows."""
     folder = f"{work_folder(spark)}/lines-{uuid.uuid4().hex}"
     docs = _documents(spark, sf_dir).select("doc_id", "lang", "text")
-    # One task writes a range of ids to one file, in the order of the ranges.
-    docs.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").write.json(folder)
+    # One task writes a range of ids to one file, in the order of the ranges; there are more of them the more there is to read.
+    ranges = max(4, 2 * docs.rdd.getNumPartitions())
+    docs.repartitionByRange(ranges, "doc_id").sortWithinPartitions("doc_id").write.json(folder)
     return every_kth(spark.read.schema(docs.schema).json(folder), 3)
 
 
