@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+# Bytes and rows that a function gets at once; what it makes of them is on its way before it gets more.
+PIECE_BYTES, PIECE_ROWS = 4 * 2**20, 1_000
+
 # What :func:`map_rows_apart` adds: why a row has failed, and the row.
 ERROR, FAILED = "error", "failed"
 
@@ -19,11 +22,21 @@ def map_rows(
     fn: Callable[[pd.DataFrame], pd.DataFrame],
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """Apply ``fn`` to Arrow batches in parallel; the schema stays unless given."""
+    """Apply ``fn`` to pieces of Arrow batches in parallel; the schema stays unless given.
+
+    A piece has some megabytes at most, or one row; ``fn`` must not rely on how
+    rows are grouped.
+    """
 
     def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            yield fn(part)
+            size = max(1, int(part.memory_usage(deep=True).sum()))
+            step = max(1, min(PIECE_ROWS, len(part) * PIECE_BYTES // size))
+            for start in range(0, max(1, len(part)), step):
+                yield fn(part.iloc[start : start + step].reset_index(drop=True))
+            # Else it stays until the next one is there as well.
+            del part
+            pa.default_memory_pool().release_unused()
 
     return df.mapInPandas(batches, df.schema if schema is None else schema)
 
@@ -77,7 +90,9 @@ def map_rows_apart(
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(wide)
         for part in parts:
-            waiting = [part]
+            step = max(1, min(PIECE_ROWS, part.num_rows * PIECE_BYTES // max(1, part.nbytes)))
+            waiting = [part.slice(start, step) for start in range(0, part.num_rows, step)][::-1]
+            del part
             while waiting:
                 batch = waiting.pop()
                 if not batch.num_rows:
@@ -92,5 +107,7 @@ def map_rows_apart(
                         waiting += [batch.slice(half), batch.slice(0, half)]
                         continue
                 yield made
+                del batch, made
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(batches, wide)
