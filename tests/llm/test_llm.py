@@ -772,6 +772,15 @@ def test_index_answers_like_reading_every_text(spark, docs):
         assert found == {s for s, t in texts.items() if any(all(x in t for x in c) for c in query)}
 
 
+def test_search_starts_no_python(spark):
+    index = spark.range(1).select(F.lit("the").alias("trigram"), F.lit(0).alias("bucket"), F.lit(bytes(4096)).alias("bitmap"))
+    hits = secrets.search_index(index, {"a": secrets.trigram_query("the|and"), "b": secrets.trigram_query("thethe")})
+    # Rows made from a Python list are an RDD, for which executors start workers of another kind.
+    assert "ExistingRDD" not in hits._jdf.queryExecution().executedPlan().toString()
+    assert [(r["kind"], r["bucket"]) for r in hits.collect()] == [("a", 0)]
+    assert secrets.search_index(index, {}).isEmpty()
+
+
 def test_redaction(spark):
     spans = [(2, 0, 5), (4, 1, 8)]
     df = spark.createDataFrame([("ab\U0001f600defghij", spans), ("none", [])], "t string, s array<struct<start:int,kind:int,end:int>>")
