@@ -772,6 +772,16 @@ def test_index_answers_like_reading_every_text(spark, docs):
         assert found == {s for s, t in texts.items() if any(all(x in t for x in c) for c in query)}
 
 
+def test_hasher_remembers_few_words():
+    hasher, plain = near.Hasher(), near.Hasher()
+    for k in range(30):
+        words = [b"common", *[b"w%d" % i for i in range(10_000 * k, 10_000 * (k + 1))], b"common"]
+        made = hasher.word_hashes(words)
+        assert len(hasher.known) <= 100_000
+        plain.known = {}
+        assert (made == plain.word_hashes(words)).all() and made[0] == made[-1]
+
+
 def test_search_starts_no_python(spark):
     index = spark.range(1).select(F.lit("the").alias("trigram"), F.lit(0).alias("bucket"), F.lit(bytes(4096)).alias("bitmap"))
     hits = secrets.search_index(index, {"a": secrets.trigram_query("the|and"), "b": secrets.trigram_query("thethe")})
