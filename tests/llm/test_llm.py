@@ -11,6 +11,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -772,6 +773,13 @@ def test_index_answers_like_reading_every_text(spark, docs):
         assert found == {s for s, t in texts.items() if any(all(x in t for x in c) for c in query)}
 
 
+def test_fit_holds_few_texts_at_once():
+    batches = [pa.RecordBatch.from_pydict({"x": list(range(n))}) for n in (0, 1, 128, 1_000)]
+    made = list(toxicity.in_parts(iter(batches)))
+    assert max(b.num_rows for b in made) == toxicity.AT_ONCE <= 256
+    assert [x for b in made for x in b.column(0).to_pylist()] == [x for b in batches for x in b.column(0).to_pylist()]
+
+
 def test_hasher_remembers_few_words():
     hasher, plain = near.Hasher(), near.Hasher()
     for k in range(30):

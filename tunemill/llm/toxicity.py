@@ -52,6 +52,8 @@ GROUPS = (
 )
 MAX_ROWS = 20_000
 MAX_FEATURES = 4_096
+AT_ONCE = 128
+"""Texts whose words a task of the fit holds as Python sets."""
 MIN_Z = 4.0
 PREFIXES = (5, 7)
 FAIRNESS = 4.0
@@ -88,11 +90,17 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(logit, -40, 40))))
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of so many rows at most."""
+    for batch in batches:
+        yield from (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
+
 def _word_sets(rows: DataFrame) -> DataFrame:
     """``label``, the distinct words of each text and its features, made in one pass over the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             words = [words_of(batch.column(1)[i].as_py()) for i in range(batch.num_rows)]
             kind = pa.list_(pa.string())
             made = [pa.array([sorted(f(w)) for w in words], kind) for f in (set, features_of)]
@@ -136,7 +144,7 @@ def fit(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = lambda words: sorted(vocabulary[w] for w in words & vocabulary.keys())
-        for batch in batches:
+        for batch in in_parts(batches):
             sets = [set(words) for words in batch.column(1).to_pylist()]
             own = [number(features_of(words)) for words in sets]
             other = [number(features_of(s)) if (s := swapped(words, groups)) else None for words in sets]
