@@ -20,9 +20,12 @@ TOXIC = toxicity.THRESHOLD
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the classifier rejects; it learns from the labels of the others' fold."""
+    """Without the documents that the classifier rejects; it learns from the labels of the others' fold.
+
+    Stored, so that whoever writes the result sends no batches of 10,000 texts to workers that later stages use.
+    """
     model = toxicity.fit_documents(docs, table(spark, sf_dir, "labels"))
-    return docs.where(toxicity.score(model) < TOXIC)
+    return stored(docs.where(toxicity.score(model) < TOXIC))
 
 
 def keyed(docs: DataFrame) -> DataFrame:

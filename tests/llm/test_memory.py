@@ -1,0 +1,105 @@
+"""What the workers of an executor hold at once, over a long run of jobs."""
+
+from __future__ import annotations
+
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tunemill.llm import common, near, passages
+
+
+def peak_mb(work) -> float:
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def batch_sizes(spark):
+    """A row for each batch that a worker gets."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["rows", "bytes"])
+
+    texts = spark.range(0, 9_000, 1, 1).select(F.repeat(F.lit("word "), 400).alias("text"))
+    return texts.mapInArrow(sizes, "rows bigint, bytes bigint")
+
+
+@pytest.mark.parametrize("keep", [common.stored, lambda df: common.Shelf(df.sparkSession).put(df)])
+def test_stored_tables_are_made_from_small_batches(spark, keep):
+    made = keep(batch_sizes(spark)).toPandas()
+    assert made["rows"].sum() == 9_000
+    assert made["bytes"].max() < 2 * common.BATCH_BYTES
+    assert spark.conf.get(common.BATCH_SETTING, None) is None
+
+
+def test_a_size_that_the_session_names_stays(spark):
+    spark.conf.set(common.BATCH_SETTING, "8m")
+    try:
+        made = common.stored(batch_sizes(spark)).toPandas()
+        assert made["bytes"].max() > 2 * common.BATCH_BYTES
+        assert spark.conf.get(common.BATCH_SETTING) == "8m"
+    finally:
+        spark.conf.unset(common.BATCH_SETTING)
+
+
+def test_the_setting_goes_when_a_job_fails(spark):
+    with pytest.raises(ValueError), common.small_batches(spark):
+        raise ValueError
+    assert spark.conf.get(common.BATCH_SETTING, None) is None
+
+
+def crowd(n: int, size: int) -> list[np.ndarray]:
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 60, 2 * size)
+    return [np.unique(np.r_[rng.choice(base, size - 10, replace=False), rng.integers(0, 1 << 60, 10)]) for _ in range(n)]
+
+
+def test_a_crowd_is_compared_in_some_megabytes():
+    sets = crowd(2 * near.BLOCK, 32)
+    assert peak_mb(lambda: near.similar(sets, 80)) < 65
+    assert peak_mb(lambda: near.estimated(sets)) < 65
+
+
+@pytest.mark.parametrize("n, size, cells", [(0, 8, 100), (1, 8, 100), (90, 40, 500), (200, 90, 1 << 21), (70, 6_000, 1)])
+def test_blocks_of_any_size_find_the_same_pairs(monkeypatch, n, size, cells):
+    monkeypatch.setattr(near, "CELLS", cells)
+    sets = crowd(n, max(size, 11))
+    plain = [set(s.tolist()) for s in sets]
+    both = np.array([[len(a & b) for b in plain] for a in plain]).reshape(n, n)
+    pairs = ~np.eye(n, dtype=bool)
+    alike = np.array([[100 * len(a & b) >= 30 * len(a | b) for b in plain] for a in plain]).reshape(n, n)
+    assert (near.overlaps(sets) == both)[pairs].all()
+    assert (near.similar(sets, 30) == alike)[pairs].all()
+    if n > 64:
+        large = np.array([[min(near.SKETCH, max(len(a), len(b))) for b in plain] for a in plain])
+        assert (near.estimated(sets) == (both >= near.LEAST_ESTIMATE * large))[pairs].all()
+
+
+def test_paragraphs_of_many_texts_take_some_megabytes():
+    rng = np.random.default_rng(3)
+    texts = pa.array([" ".join(f"word{w}" for w in rng.integers(0, 5_000, 300)) for _ in range(700)])
+
+    def work():
+        for _, part in passages.chunks(texts):
+            words = passages.Words(part, near.Hasher())
+            passages.Paragraphs(words).hashes()
+            passages.Paragraphs(words, passages.LONG, passages.LONG_REACH).bands()
+
+    assert peak_mb(work) < 16
+
+
+def test_scored_texts_are_stored(spark, tmp_path):
+    spark.createDataFrame([(1, 0), (2, 1)], "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(1, "a text"), (2, "another"), (None, None)], "doc_id bigint, text string")
+    left = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    assert "Python" not in left._jdf.queryExecution().toString()

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunemill.llm.common import stored, text_or_empty
+from tunemill.llm.common import small_batches, stored, text_or_empty
 
 GROUPS = (
     ("women", "men"),
@@ -153,7 +153,9 @@ def fit(
                 [batch.column(0), pa.array(own, kind), pa.array(other, kind)], names=["label", "own", "other"]
             )
 
-    table = rows.select("label", "words").mapInArrow(run, "label int, own array<int>, other array<int>").toArrow()
+    numbers = rows.select("label", "words").mapInArrow(run, "label int, own array<int>, other array<int>")
+    with small_batches(rows.sparkSession):
+        table = numbers.toArrow()
     labels = np.array(table.column("label").to_pylist(), float)
     ones, n = labels.sum(), len(labels)
     prior = (ones + 0.5) / (n + 1)
