@@ -48,8 +48,12 @@ def running(values: Column, zero: int, add: Callable[[Column, Column], Column])
 
 
 def neutral(text: str = "text") -> Column:
-    """The text without the characters that mark; the length stays, and no pattern here matches them."""
-    return F.translate(text_or_empty(text), MARK + INNER, NEUTRAL + NEUTRAL)
+    """The text without the characters that mark; the length stays, and no pattern here matches them.
+
+    Not by ``translate``, which makes a string of each character of the text.
+    """
+    marked = F.replace(text_or_empty(text), F.lit(MARK), F.lit(NEUTRAL))
+    return F.replace(marked, F.lit(INNER), F.lit(NEUTRAL))
 
 
 def find(text: Column, pattern: str, inner: str = "$0", where: Column | None = None) -> Column:
@@ -60,7 +64,7 @@ def find(text: Column, pattern: str, inner: str = "$0", where: Column | None = N
     necessary condition; texts without it are not searched.
     """
     pieces = F.split(F.regexp_replace(text, F.lit(pattern), F.lit(MARK + inner + MARK)), MARK)
-    size = lambda piece: F.length(F.translate(piece, INNER, ""))
+    size = lambda piece: F.length(F.replace(piece, F.lit(INNER)))
 
     def matches(p: Column) -> Column:
         """Every second piece is a match."""
