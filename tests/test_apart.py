@@ -111,6 +111,45 @@ def test_a_word_is_shuffled_once_to_be_scored(spark, tmp_path):
     assert 9_000 < shuffled_rows(made._jdf.queryExecution().executedPlan()) < 9_000 + terms.count() + 30 * 20
 
 
+def joined_rows(plan):
+    """Rows that the merge joins of a query which has run gave."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return joined_rows(plan.executedPlan())
+    if name.endswith("QueryStage"):
+        return joined_rows(plan.plan())
+    children = plan.children()
+    own = plan.metrics().apply("numOutputRows").value() if name == "SortMergeJoin" else 0
+    return own + sum(joined_rows(children.apply(i)) for i in range(children.size()))
+
+
+def test_rare_pairs_are_joined_once_as_numbers(spark, tmp_path):
+    chance = random.Random(4)
+    rows = [(i, "ab"[i % 2], " ".join(f"w{chance.randrange(400)}" for _ in range(300))) for i in range(30)]
+    texts = spark.createDataFrame(rows, "id long, expert string, text string")
+    tokens = words(F.col("text"))
+    terms = fit_bigrams(texts, F.col("expert"), tokens, ["a", "b"], f"{tmp_path}/model", 0)
+    assert not [f.name for f in terms.schema if f.dataType.typeName() in ("string", "array")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        made = bigram_perplexity(texts, "id", tokens, terms, ["a", "b"], 0)
+        assert len(made.collect()) == 30
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # What is known of them and what is not comes from one join.
+    assert 9_000 <= joined_rows(made._jdf.queryExecution().executedPlan()) < 10_000
+
+
+def test_texts_of_one_key_and_texts_without_words(spark, tmp_path):
+    rows = [(1, "a", "x y x"), (1, "a", ""), (1, None, None), (2, "a", " "), (2, "a", " "), (None, "a", "y x"), (None, "b", "")]
+    texts = spark.createDataFrame(rows, "id long, expert string, text string")
+    tokens = words(F.col("text"))
+    terms = fit_bigrams(texts, F.col("expert"), tokens, ["a"], f"{tmp_path}/model")
+    made = bigram_perplexity(texts, "id", tokens, terms, ["a"]).select("id", F.inline("scores")).collect()
+    found = Counter((r.id, r.ppl is None) for r in made)
+    assert found == {(1, False): 1, (1, True): 2, (2, True): 2, (None, False): 1, (None, True): 1}
+
+
 def as_set(df):
     return {tuple(r) for r in df.collect()}
 

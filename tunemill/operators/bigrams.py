@@ -20,6 +20,12 @@ The logarithm is a sum of terms that exist for what an expert has seen only::
 so one table of terms, looked up once, scores texts with any words in them.
 The terms of frequent words are sent to every task; those of other words are
 added to the terms of their pairs, so a text sends a rare pair and no words.
+
+Beyond the scan a word is 80 bits of hashes, a ``word`` of 64 and a ``mark`` of
+16: of 100 million words two are alike with a chance of some 4 in 10^9.  So
+counts, sorts and shuffles move a few numbers a row, as long as any others.  A
+pair's ``pair`` of 64 bits mixes both words, its ``marks`` of 32 have 16 of each;
+joins and sorts compare the first number and look at the other where it is equal.
 """
 
 from __future__ import annotations
@@ -37,17 +43,44 @@ DISCOUNT = 0.75
 
 # What a term belongs to.
 WORD, BEFORE, PAIR, BASE = range(4)
-TERM = ["kind", "prev", "token"]
+PAIR_KEY = ["pair", "token", "marks"]
+# The key of a term, of a word or a pair, and of a word.
+KEY = ["code", "mark"]
+TERM = ["kind", *KEY]
+
 
+def token_pairs(df: DataFrame, tokens: Column, *keep: str | Column, silent: bool = False) -> DataFrame:
+    """A row for each word, as ``token``, with the word before it as ``prev``.
 
-def token_pairs(df: DataFrame, tokens: Column, *keep: str | Column) -> DataFrame:
-    """A row for each word, as ``token``, with the word before it as ``prev``."""
-    cut = df.select(*keep, tokens.alias("_tokens"))
+    With ``silent`` a text without words has a row with a NULL ``token``.
+    """
+    cut = df.select(*keep, F.coalesce(tokens, F.array().cast("array<string>")).alias("_tokens") if silent else tokens.alias("_tokens"))
     names = cut.columns[:-1]
     zipped = F.arrays_zip(F.concat(F.array(F.lit("")), "_tokens").alias("prev"), F.col("_tokens").alias("token"))
     both = cut.select(*names, F.explode(zipped).alias("_pair"))
     # The last word stands before nothing.
-    return both.select(*names, "_pair.prev", "_pair.token").filter(F.col("token").isNotNull())
+    last = F.col("token").isNotNull()
+    return both.select(*names, "_pair.prev", "_pair.token").filter(last | (F.col("prev") == "") if silent else last)
+
+
+def hashed_pairs(pairs: DataFrame, *keep: str) -> DataFrame:
+    """The pairs as numbers, NULL where ``token`` is.
+
+    ``token`` has 64 bits of the second word, ``pair`` those of the first one
+    mixed with them, ``marks`` 16 more bits of each.
+    """
+    mark = lambda c: F.hash(c).bitwiseAND(F.lit(0xFFFF))
+    marks = F.shiftleft(mark("prev"), 16).bitwiseOR(mark("token"))
+    numbers = pairs.select(*keep, F.xxhash64("prev").alias("_prev"), F.xxhash64("token").alias("_token"), marks.alias("_marks"), F.col("token").isNotNull().alias("_word"))
+    key = F.col("_prev").bitwiseXOR(F.xxhash64("_token")), F.col("_token"), F.col("_marks")
+    return numbers.select(*keep, *[F.when(F.col("_word"), n).alias(c) for n, c in zip(key, PAIR_KEY)])
+
+
+def _word_of(side: str) -> list[Column]:
+    """The key of a pair's first (``prev``) or second word (``token``)."""
+    if side == "token":
+        return [F.col("token").alias("code"), F.col("marks").bitwiseAND(F.lit(0xFFFF)).alias("mark")]
+    return [F.col("pair").bitwiseXOR(F.xxhash64("token")).alias("code"), F.shiftrightunsigned("marks", 16).alias("mark")]
 
 
 def within_bytes(table: DataFrame, weight: Column, row_bytes: Column, head_bytes: int) -> Column:
@@ -63,20 +96,24 @@ def within_bytes(table: DataFrame, weight: Column, row_bytes: Column, head_bytes
     return power >= fitting.agg(F.coalesce(F.min("_power"), F.lit(64))).scalar()
 
 
-def _look_up(
-    rows: DataFrame, table: DataFrame, on: Sequence[str], values: Sequence[str], weight: str, head_bytes: int
-) -> DataFrame:
-    """``rows`` with the ``values`` of their keys; heavy keys from memory, so no task gets all rows of one.
+def _with(rows: DataFrame, key: Sequence[Column], table: DataFrame, values: Sequence[str], how: str) -> DataFrame:
+    """``rows`` with the ``values`` of the term of their ``key``; the join is planned on the key's first number alone."""
+    code, mark = key
+    named = table.select(*[F.col(c).alias(f"_{c}") for c in KEY], *values)
+    joined = rows.join(named, (code == F.col("_code")) & (mark.bitwiseXOR(F.col("_mark")) == 0), how)
+    return joined.select(*rows.columns, *values)
 
-    Every key of ``rows`` is in ``table``.
+
+def _look_up(pairs: DataFrame, table: DataFrame, side: str, values: Sequence[str], heavy: Column) -> DataFrame:
+    """``pairs`` with the ``values`` of their words; heavy words from memory, so no task gets all pairs of one.
+
+    Every word of ``pairs`` is in ``table``.
     """
-    size = reduce(lambda a, b: a + b, [F.octet_length(c) for c in on], F.lit(48 + 16 * len(values)))
-    heavy = within_bytes(table, F.col(weight), size, head_bytes)
-    first = rows.join(F.broadcast(table.filter(heavy).select(*on, *values)), list(on), "left")
+    word = _word_of(side)
+    first = _with(pairs, word, F.broadcast(table.filter(heavy)), values, "left")
     found = F.col(values[0]).isNotNull()
-    light = table.filter(~heavy).select(*on, *values)
-    rest = first.filter(~found).select(*rows.columns).join(light, list(on))
-    return first.filter(found).unionByName(rest)
+    rest = first.filter(~found).select(*pairs.columns)
+    return first.filter(found).unionByName(_with(rest, word, table.filter(~heavy), values, "inner"))
 
 
 def _each(experts: Sequence[str], prefix: str) -> list[str]:
@@ -91,59 +128,54 @@ def fit_bigrams(
     folder: str,
     head_bytes: int = HEAD_BYTES,
 ) -> DataFrame:
-    """The terms of all experts, kept below ``folder``: ``kind, prev, token, weight, sent, logs``.
+    """The terms of all experts, kept below ``folder``: ``kind, code, mark, weight, sent`` and the ``logs``.
 
-    ``logs`` has a number per expert, in their order; ``weight`` is how often
-    the experts' texts use the term.  ``sent`` marks the terms of words that
+    ``log0``, ``log1``, ... are the experts' numbers, in their order; ``weight`` is how often
+    the experts' texts use the term; each kind has a folder of its own.  ``sent`` marks the terms of words that
     fit into half of ``head_bytes``; those of other words are part of the
     terms of their pairs, and only pairs the experts have not seen use them
     alone.  The texts are read once; all counts are
     combined before they are shuffled, and the counts of pairs are written
-    before the three tables that need them are made.
+    before the three tables that need them are made.  Pairs with a word that
+    does not fit into ``head_bytes`` are written once more, to be joined.
     """
     spark = df.sparkSession
-    counts, seen, after, before = (_each(experts, prefix) for prefix in "cnfb")
-    wanted = token_pairs(df.filter(expert.isin(*experts)), tokens, expert.alias("_expert"))
-    wanted.groupBy("prev", "token").agg(
+    counts, seen, after, before, logs = (_each(experts, prefix) for prefix in ("c", "n", "f", "b", "log"))
+    wanted = hashed_pairs(token_pairs(df.filter(expert.isin(*experts)), tokens, expert.alias("_expert")), "_expert")
+    wanted.groupBy(*PAIR_KEY).agg(
         *[F.count_if(F.col("_expert") == name).alias(c) for name, c in zip(experts, counts)]
     ).write.parquet(f"{folder}/counts")
     pairs = spark.read.parquet(f"{folder}/counts")
 
-    occurrences = reduce(lambda a, b: a + b, [F.col(c) for c in counts])
-    firsts = pairs.groupBy("prev").agg(
+    total = lambda columns: reduce(lambda a, b: a + b, [F.col(c) for c in columns])
+    pairs.groupBy(*_word_of("prev")).agg(
         F.count("*").alias("_rows"),
-        F.sum(occurrences).alias("weight"),
         *[F.sum(c).alias(n) for c, n in zip(counts, seen)],
         *[F.count_if(F.col(c) > 0).alias(f) for c, f in zip(counts, after)],
-    )
-    seconds = pairs.groupBy("token").agg(
+    ).withColumn("weight", total(seen)).write.parquet(f"{folder}/firsts")
+    pairs.groupBy(*_word_of("token")).agg(
         F.count("*").alias("_rows"),
-        F.sum(occurrences).alias("weight"),
+        F.sum(total(counts)).alias("weight"),
         *[F.count_if(F.col(c) > 0).alias(b) for c, b in zip(counts, before)],
-    )
-    firsts.write.parquet(f"{folder}/firsts")
-    seconds.write.parquet(f"{folder}/seconds")
+    ).write.parquet(f"{folder}/seconds")
     # Words whose own terms are sent to every task; a quarter of the memory for each kind.
-    of_words = F.lit(64 + 16 * len(experts))
+    of_word = F.lit(64 + 16 * len(experts) + 16)
     firsts, seconds = (
-        table.withColumn("sent", within_bytes(table, F.col("weight"), F.octet_length(word) + of_words, head_bytes // 4))
-        for word in ("prev", "token")
-        for table in [spark.read.parquet(f"{folder}/{'firsts' if word == 'prev' else 'seconds'}")]
+        table.withColumn("sent", within_bytes(table, F.col("weight"), of_word, head_bytes // 4))
+        for name in ("firsts", "seconds")
+        for table in [spark.read.parquet(f"{folder}/{name}")]
     )
 
     bases = seconds.agg(F.count("*").alias("_words"), *[F.coalesce(F.sum(b), F.lit(0)).alias(b) for b in before])
     of_base = F.array(*[(F.col(b) + F.col("_words")).cast("double") for b in before])
     sizes = bases.select(of_base).scalar()
 
-    def rows(
-        table: DataFrame, kind: int, prev: Column, token: Column, weight: Column, sent: Column, logs: list[Column]
-    ) -> DataFrame:
-        return table.select(
-            F.lit(kind).alias("kind"), prev.alias("prev"), token.alias("token"), weight.alias("weight"),
-            sent.alias("sent"), F.array(*logs).alias("logs"),
-        )
+    def put(table: DataFrame, kind: int, key: list[Column], weight: Column, sent: Column, by_expert: list[Column]) -> None:
+        named = [c.cast(t).alias(n) for c, t, n in zip(key, ("bigint", "int"), KEY)]
+        numbers = [c.alias(n) for c, n in zip(by_expert, logs)]
+        made = table.select(*named, weight.alias("weight"), sent.alias("sent"), *numbers)
+        made.write.parquet(f"{folder}/terms/kind={kind}")
 
-    none = F.lit("")
     by_word = [F.log(F.col(b) + 1.0) for b in before]
     by_first = [
         F.when(F.col(n) > 0, F.log(DISCOUNT * F.col(f) / F.col(n))).otherwise(0.0) for n, f in zip(seen, after)
@@ -156,20 +188,30 @@ def fit_bigrams(
             F.log1p((F.col(c) - DISCOUNT) * F.get("_sizes", F.lit(i)) / (DISCOUNT * F.col(f) * (F.col(b) + 1.0))),
         ).otherwise(0.0)
         + F.col(first)
-        + F.when(F.col("sent"), 0.0).otherwise(word)
+        + F.when(F.col("_sent"), 0.0).otherwise(word)
         for i, (c, f, b, first, word) in enumerate(zip(counts, after, before, alone, by_word))
     ]
     lone = firsts.select("*", *[F.when(F.col("sent"), 0.0).otherwise(log).alias(c) for log, c in zip(by_first, alone)])
-    whole = _look_up(pairs, lone, ["prev"], [*after, *alone], "_rows", head_bytes)
-    whole = _look_up(whole, seconds, ["token"], [*before, "sent"], "_rows", head_bytes).withColumn("_sizes", sizes)
-    no = F.lit(False)
-    terms = [
-        rows(seconds, WORD, none, F.col("token"), F.col("weight"), F.col("sent"), by_word),
-        rows(firsts, BEFORE, F.col("prev"), none, F.col("weight"), F.col("sent"), by_first),
-        rows(whole, PAIR, F.col("prev"), F.col("token"), occurrences, no, by_pair),
-        rows(bases, BASE, none, none, F.lit(0).cast("bigint"), no, [F.log((F.col(b) + F.col("_words")).cast("double")) for b in before]),
-    ]
-    reduce(DataFrame.unionByName, terms).write.parquet(f"{folder}/terms")
+    last = seconds.withColumnRenamed("sent", "_sent")
+    of_first, of_second = [*after, *alone], [*before, "_sent"]
+    heavy_first, heavy_second = (
+        within_bytes(table, F.col("_rows"), F.lit(64 + 16 * len(values)), head_bytes)
+        for table, values in ((lone, of_first), (last, of_second))
+    )
+    near = _with(pairs, _word_of("prev"), F.broadcast(lone.filter(heavy_first)), of_first, "left")
+    near = _with(near, _word_of("token"), F.broadcast(last.filter(heavy_second)), of_second, "left")
+    both = F.col(after[0]).isNotNull() & F.col(before[0]).isNotNull()
+    near.filter(~both).select(*pairs.columns).write.parquet(f"{folder}/rest")
+    rest = _look_up(spark.read.parquet(f"{folder}/rest"), lone, "prev", of_first, heavy_first)
+    rest = _look_up(rest, last, "token", of_second, heavy_second)
+    whole = near.filter(both).unionByName(rest).withColumn("_sizes", sizes)
+    none, no = F.lit(0), F.lit(False)
+    word, pair = [F.col(c) for c in KEY], [F.col("pair"), F.col("marks")]
+    put(seconds, WORD, word, F.col("weight"), F.col("sent"), by_word)
+    put(firsts, BEFORE, word, F.col("weight"), F.col("sent"), by_first)
+    put(whole, PAIR, pair, total(counts), no, by_pair)
+    of_bases = [F.log((F.col(b) + F.col("_words")).cast("double")) for b in before]
+    put(bases, BASE, [none] * 2, none.cast("bigint"), no, of_bases)
     return spark.read.parquet(f"{folder}/terms")
 
 
@@ -191,62 +233,65 @@ def bigram_perplexity(
     execution splits what is not.  Texts are read once for the sums and once for
     these pairs, so no row is shuffled to be summed up before it is joined.  A
     pair that no expert has looks up its words; a term that no expert has adds
-    nothing, and models of no words give NULL.
+    nothing, and models of no words give NULL.  Texts of one key are one text,
+    but each of them without words has a row of its own.
     """
     size = len(experts)
-    both = ["prev", "token"]
+    logs = _each(experts, "log")
+
+    def of(kind: int, prefix: str, rows: Column) -> DataFrame:
+        numbers = [F.col(c).alias(f"{prefix}{i}") for i, c in enumerate(logs)]
+        return terms.filter((F.col("kind") == kind) & rows).select(*KEY, *numbers)
+
     in_model = terms.filter(F.col("kind") == PAIR)
-    row_bytes = F.octet_length("prev") + F.octet_length("token") + F.lit(64 + 16 * size)
-    heavy = within_bytes(in_model, F.col("weight"), row_bytes, head_bytes // 2)
-    head = in_model.filter(heavy).select(*both, F.col("logs").alias("_pair"))
-    # Plain columns take less room in a shuffle than an array.
-    rare = [f"_r{i}" for i in range(size)]
-    tail = in_model.filter(~heavy).select(*both, *[F.get("logs", F.lit(i)).alias(r) for i, r in enumerate(rare)])
-    sent_words = terms.filter((F.col("kind") == WORD) & F.col("sent")).select("token", F.col("logs").alias("_word"))
-    sent_firsts = terms.filter((F.col("kind") == BEFORE) & F.col("sent")).select("prev", F.col("logs").alias("_first"))
-    words_alone = terms.filter(F.col("kind").isin(WORD, BEFORE) & ~F.col("sent")).select(*TERM, "logs")
-
-    def log(name: str, i: int) -> Column:
-        return F.coalesce(F.get(name, F.lit(i)), F.lit(0.0))
-
-    nothing = [F.lit(None).cast(t).alias(c) for c, t in zip(TERM, ("int", "string", "string"))]
-    sums = [f"_s{i}" for i in range(size)]
-    pairs = token_pairs(df, tokens, key)
-    near = pairs.join(F.broadcast(sent_words), "token", "left").join(F.broadcast(sent_firsts), "prev", "left")
-    near = near.join(F.broadcast(head), both, "left").select(
-        key, *nothing, F.lit(1).alias("_words"),
-        *[(log("_word", i) + log("_first", i) + log("_pair", i)).alias(s) for i, s in enumerate(sums)],
+    heavy = within_bytes(in_model, F.col("weight"), F.lit(64 + 16 * size + 16), head_bytes // 2)
+    head, tail = of(PAIR, "_pair", heavy), of(PAIR, "_rare", ~heavy)
+    sent_words, sent_firsts = of(WORD, "_word", F.col("sent")), of(BEFORE, "_first", F.col("sent"))
+    words_alone = terms.filter(F.col("kind").isin(WORD, BEFORE) & ~F.col("sent")).select(*TERM, *logs)
+
+    def log(name: str) -> Column:
+        return F.coalesce(F.col(name), F.lit(0.0))
+
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in zip(TERM, ("int", "bigint", "int"))]
+    sums = _each(experts, "_s")
+    pair = [F.col("pair"), F.col("marks")]
+    near = hashed_pairs(token_pairs(df, tokens, key, silent=True), key)
+    near = _with(near, _word_of("token"), F.broadcast(sent_words), _each(experts, "_word"), "left")
+    near = _with(near, _word_of("prev"), F.broadcast(sent_firsts), _each(experts, "_first"), "left")
+    is_word = F.col("token").isNotNull()
+    near = _with(near, pair, F.broadcast(head), _each(experts, "_pair"), "left").select(
+        key, *nothing, is_word.cast("int").alias("_words"), (~is_word).cast("int").alias("_silent"),
+        *[(log(f"_word{i}") + log(f"_first{i}") + log(f"_pair{i}")).alias(s) for i, s in enumerate(sums)],
     )
-    far = pairs.join(F.broadcast(head), both, "left_anti").join(tail, both, "left")
-    none = F.lit("")
+    far = _with(hashed_pairs(token_pairs(df, tokens, key), key), pair, F.broadcast(head), [], "left_anti")
+    far = _with(far, pair, tail, _each(experts, "_rare"), "left")
     seen = F.array(F.struct(*nothing))
-    unseen = [(WORD, none, F.col("token")), (BEFORE, F.col("prev"), none)]
-    looked_for = F.array(*[F.struct(F.lit(k).alias("kind"), p.alias("prev"), t.alias("token")) for k, p, t in unseen])
+    unseen = F.array(
+        *[F.struct(F.lit(kind).alias("kind"), *_word_of(side)) for kind, side in ((WORD, "token"), (BEFORE, "prev"))]
+    )
     far = far.select(
-        key, F.inline(F.when(F.col(rare[0]).isNotNull(), seen).otherwise(looked_for)), F.lit(0).alias("_words"),
-        *[F.coalesce(r, F.lit(0.0)).alias(s) for r, s in zip(rare, sums)],
+        key, F.inline(F.when(F.col("_rare0").isNotNull(), seen).otherwise(unseen)), F.lit(0).alias("_words"), F.lit(0).alias("_silent"),
+        *[log(f"_rare{i}").alias(s) for i, s in enumerate(sums)],
     )
+    added = ["_n", "_none", *sums]
     summed = near.unionByName(far).groupBy(key, *TERM).agg(
-        F.count("*").alias("_rows"), F.count("kind").alias("_open"), F.sum("_words").alias("_n"), *[F.sum(s).alias(s) for s in sums]
-    )
-    # Conditions on a count stay above the shuffle, so both branches read the same one.
-    known = summed.filter(F.col("_open") == 0).select(key, "_n", *sums)
-    unknown = summed.filter(F.col("_open") > 0).join(words_alone, TERM)
-    unknown = unknown.select(key, "_n", *[(F.col(s) + F.col("_rows") * log("logs", i)).alias(s) for i, s in enumerate(sums)])
-    totals = known.unionByName(unknown).groupBy(key).agg(*[F.sum(c).alias(c) for c in ("_n", *sums)])
-
-    base = terms.filter(F.col("kind") == BASE).select("logs").scalar()
-    rows = [
-        F.struct(
-            F.lit(name).alias("expert"),
-            F.lit(i).alias("expert_pos"),
-            F.exp(F.get("_base", F.lit(i)) - F.col(f"_s{i}") / F.nullif(F.col("_n"), F.lit(0))).alias("ppl"),
-        )
-        for i, name in enumerate(experts)
-    ]
-    scored = totals.withColumn("_base", base).select(key, F.array(*rows).alias("scores"))
-    # A text without words has no pair, and keeps its row.
-    silent = df.filter(F.coalesce(F.size(tokens), F.lit(0)) <= 0).select(
-        key, F.array(*[F.struct(F.lit(n).alias("expert"), F.lit(i).alias("expert_pos"), F.lit(None).cast("double").alias("ppl")) for i, n in enumerate(experts)]).alias("scores")
+        F.count("*").alias("_rows"), F.count("kind").alias("_open"),
+        F.sum("_words").alias("_n"), F.sum("_silent").alias("_none"), *[F.sum(s).alias(s) for s in sums],
     )
-    return scored.unionByName(silent)
+    # Both branches read the same shuffle: conditions on a count stay above it, both use all of its
+    # columns (there is no group without rows), and an outer join asks for no keys below it.
+    known = summed.filter((F.col("_open") == 0) & (F.col("_rows") > 0)).select(key, *added)
+    unknown = summed.filter(F.col("_open") > 0).join(words_alone, TERM, "left")
+    unknown = unknown.select(key, "_n", "_none", *[(F.col(s) + F.col("_rows") * log(c)).alias(s) for s, c in zip(sums, logs)])
+    totals = known.unionByName(unknown).groupBy(key).agg(*[F.sum(c).alias(c) for c in added])
+
+    base = terms.filter(F.col("kind") == BASE).select(F.array(*logs)).scalar()
+
+    def scores(*ppl: Column) -> Column:
+        named = zip(experts, range(size), ppl)
+        return F.array(*[F.struct(F.lit(n).alias("expert"), F.lit(i).alias("expert_pos"), p.alias("ppl")) for n, i, p in named])
+
+    of_words = scores(*[F.exp(F.get("_base", F.lit(i)) - F.col(s) / F.nullif(F.col("_n"), F.lit(0))) for i, s in enumerate(sums)])
+    of_none = scores(*[F.lit(None).cast("double")] * size)
+    each = F.concat(F.array_repeat(of_words, F.when(F.col("_n") > 0, 1).otherwise(0)), F.array_repeat(of_none, F.col("_none").cast("int")))
+    return totals.withColumn("_base", base).select(key, F.explode(each).alias("scores"))
