@@ -654,6 +654,35 @@ def test_passages_with_changed_words_go(spark):
     assert all(len([w for w in cut[k] if w not in set(most[k])]) >= 58 for k in most)
 
 
+def test_passages_of_a_paragraph_or_more_all_go(spark):
+    rng = random.Random(12)
+    fresh = lambda n: [f"z{rng.randrange(10**7)}" for _ in range(n)]
+    rows, shared = [], {}
+    for k in range(200):
+        words = shared[2 * k + 1] = fresh(passages.LENGTH + k % 30)
+        rows.append((2 * k, " ".join(fresh(rng.randrange(40)) + words + fresh(rng.randrange(40))), "s"))
+        rows.append((2 * k + 1, " ".join(fresh(rng.randrange(40)) + words + fresh(rng.randrange(40))), "s"))
+    rows.append((1_000, " ".join(" ".join(w[: passages.LENGTH - 1]) + f" x{k}" for k, w in shared.items()), "s"))
+    df = spark.createDataFrame(rows, DOC)
+    cut = {r["doc_id"]: r["text"].split() for r in passages.without(df, passages.removals(df)).collect()}
+    for key, text, _ in rows:
+        gone = set(shared.get(key, ()))
+        assert cut[key] == [w for w in text.split() if w not in gone]
+
+
+def test_a_dense_bitmap_compares_more_paragraphs(spark, monkeypatch):
+    rows, _ = passage_corpus()
+    df = spark.createDataFrame([(k, t, "s") for k, t in rows.items()], DOC)
+    found = Counter(map(tuple, passages.removals(df).collect()))
+    texts = [rows[k] for k in sorted(rows)]
+    words = passages.Words(texts, near.Hasher())
+    every, of, begins = passages.compared(words, np.full(1, 255, np.uint8))
+    assert len(of.at) == len(begins) - 1 and (np.diff(begins) <= passages.GRAM_REACH).all()
+    assert every.at.tolist() == [at for t in texts for at in range(len(t.split()) - passages.LENGTH + 1)]
+    monkeypatch.setattr(passages, "repeated_grams", lambda docs, shelf: np.full(1, 255, np.uint8))
+    assert Counter(map(tuple, passages.removals(df).collect())) == found
+
+
 def test_word_hashes_tell_words_apart():
     rng = random.Random(4)
     words = sorted({"".join(rng.choice("abcé😀Z\u00a0") for _ in range(rng.randint(1, 9))) for _ in range(3000)} | {"x" * 5000, "x" * 5001})
